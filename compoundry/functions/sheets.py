@@ -8,17 +8,19 @@ from pyspark.sql import functions as F
 from .. import patterns as P
 
 
-def _group(c: Column, i: int) -> Column:
-    return F.nullif(F.regexp_extract(c, P.CONCENTRATION, i), F.lit("")).cast("double")
+_NUMBER = r"[0-9]+(?:\.[0-9]+)?"
 
 
 def parse_concentration(c: Column) -> Column:
-    """``a - b %`` gives (a, b, %), ``x %`` gives (x, x, %), anything else NULLs."""
-    low, high, single = _group(c, 1), _group(c, 2), _group(c, 3)
+    """``a - b %`` gives (a, b, %), ``x %`` gives (x, x, %), anything else NULLs.
+
+    The whole expression is found once; its first and last number are the bounds.
+    """
+    found = F.when(c.contains("%"), F.regexp_extract(c, P.CONCENTRATION, 0))
+    numbers = F.regexp_extract_all(found, F.lit(_NUMBER), F.lit(0))
+    low, high = F.get(numbers, F.lit(0)), F.try_element_at(numbers, F.lit(-1))
     return F.struct(
-        F.coalesce(low, single).alias("low"),
-        F.coalesce(high, single).alias("high"),
-        F.when(F.coalesce(low, single).isNotNull(), "%").alias("unit"),
+        low.cast("double").alias("low"), high.cast("double").alias("high"), F.when(low.isNotNull(), "%").alias("unit")
     )
 
 

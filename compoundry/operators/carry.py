@@ -19,9 +19,10 @@ def carry(
 ) -> DataFrame:
     """Add ``out``: the last non-NULL ``value`` strictly before the row (after it, when ``backward``).
 
-    ``order`` is an integer, unique per group.
+    ``order`` is an integer, unique per group. The result keeps ``_range``, so that a second carry over
+    the same rows finds them partitioned already.
     """
-    ranged = df.withColumn("_range", F.floor(F.col(order) / width))
+    ranged = df if "_range" in df.columns else df.withColumn("_range", F.floor(F.col(order) / width))
 
     def ordered(w, c: str):
         return w.orderBy(F.col(c).desc() if backward else F.col(c).asc()).rowsBetween(
@@ -40,5 +41,5 @@ def carry(
         .select(group, "_range", "_far")
     )
     return inside.join(ends, [group, "_range"], "left").select(
-        *df.columns, F.coalesce("_near", "_far").alias(out)
+        *ranged.columns, F.coalesce("_near", "_far").alias(out)
     )

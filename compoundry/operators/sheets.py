@@ -15,11 +15,16 @@ from ..functions.sheets import component_name, h_codes, p_codes, parse_concentra
 from ..functions.text import strip_ws
 from .carry import carry
 
-# A line that names a section, seen from its start; the number stands on the same line.
+# A line that names a section; the number stands on the same line. The plain pattern knows the line
+# breaks of the regular expression engine; pages with rarer ones take the exact, slower pattern.
 _TAG_INLINE = r"\bSECTION" + P.INLINE_WS + r"*[0-9]+\b"
-_LINE_START = r"(?<=\A|[" + P.LINE_BREAK_CHARS + "])"
-_TAGGED_LINE = "(?i)" + _LINE_START + "(?=[^" + P.LINE_BREAK_CHARS + "]*" + _TAG_INLINE + ")"
-_ANY_HIT = "(?i)(?:" + P.CAS_TOKEN + r"|\b[HP][0-9]{3}|\b(?:DANGER|WARNING)\b)"
+_RARE_BREAKS = r"[\x0B\x0C\x1C-\x1E]"
+_NOT_NEWLINE_BREAKS = r"[\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
+_LINE_CHARS = "[^" + P.LINE_BREAK_CHARS + "]*"
+_TAGGED_LINE = r"(?im)^(?=.*" + _TAG_INLINE + ")"
+_TAGGED_LINE_EXACT = "(?im)(?:^|(?<=" + _RARE_BREAKS + "))(?=" + _LINE_CHARS + _TAG_INLINE + ")"
+_LAST_TAG = "(?is)(?:^|.*[" + P.LINE_BREAK_CHARS + "])" + _LINE_CHARS + "?(" + _TAG_INLINE + ")"
+_ANY_HIT = r"[0-9]-[0-9]{2}-[0-9]|\b[HP][0-9]{3}|(?i:DANGER|WARNING)"
 
 # A heading: keyword and number at the start of a line, then a title that may stand on a later line.
 # MARK stands between the text of a page and the first characters of the next one.
@@ -28,33 +33,43 @@ _GAP = r"[\x01" + P.WS[1:] + "*"
 _NUMBERED = r"(?:SECTION|SEC\.)" + _GAP + r"([0-9]{1,2})(?![0-9])"
 _HEAD = _NUMBERED + _GAP + r"[:.-]?" + _GAP
 _INDENT = P.INLINE_WS + "*"
-_HEADING_AHEAD = r"(?i)(?<=\A|\n)(?=" + _INDENT + _HEAD + r"[^\n\x01" + P.WS[1:] + ")"
+_HEADING_AHEAD = r"(?imd)^(?=" + _INDENT + _HEAD + r"[^\n\x01" + P.WS[1:] + ")"
 _HEADING_AT_START = "(?i)^" + _INDENT + _HEAD + r"[^\n\x01" + P.WS[1:]
 _HEADING_PARTS = "(?i)^" + P.WS + "*" + _HEAD + r"([^\n]+?)" + P.WS + r"*(?:\n|\z)"
 _NEXT_CHARS = 64
 
 
+def _lines(text: Column) -> Column:
+    """Lines of a text; a text with line feeds only is split on one character, without a pattern."""
+    return F.when(text.rlike(_NOT_NEWLINE_BREAKS), F.split(text, P.LINE_BREAK, -1)).otherwise(F.split(text, "\n", -1))
+
+
+def _without_last_break(text: Column) -> Column:
+    return F.regexp_replace(text, "(?:" + P.LINE_BREAK + r")\z", "")
+
+
 def explode_lines(pages: DataFrame) -> DataFrame:
     """The lines of each page, numbered from 1; a final line break opens no further line."""
-    text = F.regexp_replace(F.coalesce("text", F.lit("")), "(?:" + P.LINE_BREAK + r")\z", "")
-    lines = F.when(F.coalesce("text", F.lit("")) == "", F.array().cast("array<string>")).otherwise(
-        F.split(text, P.LINE_BREAK, -1)
-    )
-    return pages.select("doc_id", "page_no", F.posexplode(lines).alias("line_no", "line")).withColumn(
-        "line_no", F.col("line_no") + 1
+    text = _without_last_break(F.col("text"))
+    return (
+        pages.filter(F.col("text") != "")
+        .select("doc_id", "page_no", text.alias("text"))
+        .select("doc_id", "page_no", F.posexplode(_lines(F.col("text"))).alias("line_no", "line"))
+        .withColumn("line_no", F.col("line_no") + 1)
     )
 
 
 def _segments(text: Column) -> Column:
     """A page cut before every line that names a section."""
-    return F.split(text, _TAGGED_LINE, -1)
+    return F.when(text.rlike(_RARE_BREAKS), F.split(text, _TAGGED_LINE_EXACT, -1)).otherwise(
+        F.split(text, _TAGGED_LINE, -1)
+    )
 
 
 def with_section(pages: DataFrame, width: int | None = None) -> DataFrame:
     """W04 on pages: rows (doc, page, segment, text, section), the section carried across pages."""
-    text = F.coalesce("text", F.lit(""))
-    last_segment = F.element_at(_segments(text), -1)
-    base = pages.select("doc_id", "page_no", text.alias("text"), _segment_tag(last_segment).alias("_last_tag"))
+    last_tag = F.upper(F.nullif(F.regexp_extract("text", _LAST_TAG, 1), F.lit("")))
+    base = pages.filter(F.col("text") != "").select("doc_id", "page_no", "text", last_tag.alias("_last_tag"))
     carried = carry(base, "doc_id", "page_no", "_last_tag", "_carried", **({"width": width} if width else {}))
     return carried.select(
         "doc_id", "page_no", "_carried", F.posexplode(_segments(F.col("text"))).alias("segment", "text")
@@ -67,23 +82,15 @@ def _segment_tag(segment: Column) -> Column:
 
 def carry_section(pages: DataFrame, width: int | None = None) -> DataFrame:
     """W04 on lines: every line with the section tag seen last, across the pages of a document."""
-    s = with_section(pages, width).withColumn(
-        "text", F.regexp_replace("text", "(?:" + P.LINE_BREAK + r")\z", "")
-    )
-    empty_page = (F.col("segment") == 0) & (F.col("text") == "")
-    lines = s.filter(~empty_page).select(
-        "doc_id", "page_no", "segment", "section", F.posexplode(F.split("text", P.LINE_BREAK, -1)).alias("n", "line")
-    )
-    return lines
+    s = with_section(pages, width).withColumn("text", _without_last_break(F.col("text")))
+    return s.select("doc_id", "page_no", "segment", "section", F.posexplode(_lines(F.col("text"))).alias("n", "line"))
 
 
 def mined_lines(pages: DataFrame, width: int | None = None) -> DataFrame:
-    """Lines that hold a number, a code or a signal word, with section and position; all else is dropped early."""
-    s = with_section(pages.filter(F.col("text") != ""), width)
+    """Lines that may hold a number, a code or a signal word, with section and position; others are dropped early."""
+    s = with_section(pages, width)
     return (
-        s.select(
-            "doc_id", "page_no", "segment", "section", F.posexplode(F.split("text", P.LINE_BREAK, -1)).alias("n", "line")
-        )
+        s.select("doc_id", "page_no", "segment", "section", F.posexplode(_lines(F.col("text"))).alias("n", "line"))
         .filter(F.col("line").rlike(_ANY_HIT))
         .select("doc_id", "page_no", "section", "line", F.struct("page_no", "segment", "n").alias("pos"))
     )
@@ -98,33 +105,34 @@ def _hits(lines: DataFrame, found: Column, extra: list[str] | None = None) -> Da
 def extract_entities(lines: DataFrame) -> DataFrame:
     """X02 + M12: numbers and signal words; the first of each normal form per document.
 
-    Numbers with a wrong check digit have no normal form and are all kept, outside the grouping.
+    Numbers with a wrong check digit have no normal form and are all kept: their position makes the
+    grouping key unique, so one pass and one shuffle serve both cases.
     """
-    cas = _hits(lines, extract_cas_bounded(F.col("line"))).select(
-        "doc_id", "page_no", "section", F.lit("CAS").alias("entity_type"), "value",
-        cas_normalize(F.col("value")).alias("norm_value"), "pos",
-    )
-    signal = _hits(lines, signal_words(F.col("line"))).select(
-        "doc_id", "page_no", "section", F.lit("SIGNAL").alias("entity_type"), "value",
-        F.col("value").alias("norm_value"), "pos",
+
+    def typed(kind: str):
+        return lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
+
+    line = F.col("line")
+    found = F.concat(F.transform(extract_cas_bounded(line), typed("CAS")), F.transform(signal_words(line), typed("SIGNAL")))
+    hits = _hits(lines, found).select(
+        "doc_id", "page_no", "section", F.col("value.kind").alias("entity_type"), F.col("value.value").alias("value"), "pos"
     )
-    keyed = cas.filter(F.col("norm_value").isNotNull()).unionByName(signal)
-    first = (
-        keyed.groupBy("doc_id", "entity_type", "norm_value")
+    normal = F.coalesce(cas_normalize(F.col("value")), F.when(F.col("entity_type") == "SIGNAL", F.col("value")))
+    keyed = hits.withColumn("norm_value", normal).withColumn("_own", F.when(F.col("norm_value").isNull(), F.col("pos")))
+    return (
+        keyed.groupBy("doc_id", "entity_type", "norm_value", "_own")
         .agg(F.min_by(F.struct("page_no", "section", "value"), "pos").alias("f"))
         .select("doc_id", "f.page_no", "f.section", "entity_type", "f.value", "norm_value")
     )
-    return first.unionByName(cas.filter(F.col("norm_value").isNull()).drop("pos"))
 
 
 def extract_components(lines: DataFrame) -> DataFrame:
     """X03 + M13: one row per number hit, with name and concentration; the first per (document, number, name)."""
-    hits = _hits(lines, extract_cas_bounded(F.col("line")))
-    name = component_name(F.col("line"), F.col("value"))
+    hits = _hits(lines, extract_cas_bounded(F.col("line"))).withColumn("_name", component_name(F.col("line"), F.col("value")))
     rows = hits.select(
-        "doc_id", "page_no", F.nullif(name, F.lit("")).alias("name"), F.col("value").alias("cas"),
+        "doc_id", "page_no", F.nullif("_name", F.lit("")).alias("name"), F.col("value").alias("cas"),
         F.coalesce(cas_normalize(F.col("value")), F.lit("")).alias("cas_norm"),
-        F.lower(name).alias("name_key"), parse_concentration(F.col("line")).alias("c"), "pos",
+        F.lower("_name").alias("name_key"), parse_concentration(F.col("line")).alias("c"), "pos",
     )
     return (
         rows.groupBy("doc_id", "cas_norm", "name_key")
