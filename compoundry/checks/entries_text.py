@@ -8,6 +8,7 @@ from .. import patterns as P
 from ..operators import registry, report, sheets
 from ..operators import upsert as up
 from ..plans import flows
+from ..session import durable
 from .catalog import entry, now, num, stamp
 from .entries_batch import _XREF_OUT, _xref_out
 from .entries_scalar import CAS, conc_sql, norm_sql
@@ -269,7 +270,8 @@ def _(t):
 
 def mined(t):
     # sheets named after numbers resemble no item, so documents keep the product they came with
-    return flows.sds_mine(t.fx_sds_docs, t.fx_sds_pages, t.fx_items.drop("raw"), t.fx_xref, t.fx_registry, now())
+    pages = durable(t.fx_sds_pages, "pages")  # a stored table in use; several steps read it
+    return flows.sds_mine(t.fx_sds_docs, pages, t.fx_items.drop("raw"), t.fx_xref, t.fx_registry, now())
 
 
 @entry(

@@ -56,4 +56,4 @@ def _match_blocks(df: DataFrame, text: str, patterns: DataFrame, fields: list[st
         F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))).alias("_share"),
     )
     joined = rows.join(table, ["_block", "_share"])
-    return joined.filter(F.col(text).rlike(F.concat(F.lit(flags), F.col("_pattern")))).select(*df.columns, *fields)
+    return joined.filter(F.rlike(F.col(text), F.concat(F.lit(flags), F.col("_pattern")))).select(*df.columns, *fields)

@@ -23,7 +23,7 @@ _NOT_NEWLINE_BREAKS = r"[\r\x0B\x0C\x1C-\x1E\x85\u2028\u2029]"
 _LINE_CHARS = "[^" + P.LINE_BREAK_CHARS + "]*"
 _TAGGED_LINE = r"(?im)^(?=.*" + _TAG_INLINE + ")"
 _TAGGED_LINE_EXACT = "(?im)(?:^|(?<=" + _RARE_BREAKS + "))(?=" + _LINE_CHARS + _TAG_INLINE + ")"
-_LAST_TAG = "(?is)(?:^|.*[" + P.LINE_BREAK_CHARS + "])" + _LINE_CHARS + "?(" + _TAG_INLINE + ")"
+_LAST_TAG = "(?is)(?:.*[" + P.LINE_BREAK_CHARS + "]|^)" + _LINE_CHARS + "?(" + _TAG_INLINE + ")"
 _ANY_HIT = r"[0-9]-[0-9]{2}-[0-9]|\b[HP][0-9]{3}|(?i:DANGER|WARNING)"
 
 # A heading: keyword and number at the start of a line, then a title that may stand on a later line.
@@ -34,7 +34,7 @@ _NUMBERED = r"(?:SECTION|SEC\.)" + _GAP + r"([0-9]{1,2})(?![0-9])"
 _HEAD = _NUMBERED + _GAP + r"[:.-]?" + _GAP
 _INDENT = P.INLINE_WS + "*"
 _HEADING_AHEAD = r"(?imd)^(?=" + _INDENT + _HEAD + r"[^\n\x01" + P.WS[1:] + ")"
-_HEADING_AT_START = "(?i)^" + _INDENT + _HEAD + r"[^\n\x01" + P.WS[1:]
+_HEADING_AT_START = r"(?i)\A" + _INDENT + _HEAD + r"[^\n\x01" + P.WS[1:]
 _HEADING_PARTS = "(?i)^" + P.WS + "*" + _HEAD + r"([^\n]+?)" + P.WS + r"*(?:\n|\z)"
 _NEXT_CHARS = 64
 
@@ -172,15 +172,17 @@ def section_pieces(pages: DataFrame, width: int | None = None) -> DataFrame:
         "doc_id", "page_no", "_start", "_next", backward=True, **w,
     )
     joined = F.concat("text", F.lit(_MARK + "\n"), F.coalesce("_next", F.lit("")))
-    cut = ahead.select("doc_id", "page_no", F.split(joined, _HEADING_AHEAD, -1).alias("_cut"))
+    cut = ahead.select(
+        "doc_id", "page_no", "_range", F.split(joined, _HEADING_AHEAD, -1).alias("_cut"),
+        joined.rlike(_HEADING_AT_START).alias("_opens"),
+    )
     upto = F.array_position(F.transform("_cut", lambda p: p.contains(_MARK)), True).cast("int")
+    # every piece but the first starts at a heading, because the cut was made there
     pieces = cut.select(
-        "doc_id", "page_no",
+        "doc_id", "page_no", "_range",
         F.transform(
             F.slice("_cut", F.lit(1), upto),
-            lambda p: F.struct(
-                F.substring_index(p, _MARK, 1).alias("body"), p.rlike(_HEADING_AT_START).alias("head")
-            ),
+            lambda p, i: F.struct(F.substring_index(p, _MARK, 1).alias("body"), ((i > 0) | F.col("_opens")).alias("head")),
         ).alias("_pieces"),
     )
     last_head = F.when(

@@ -1,8 +1,6 @@
 """Table schemas, as DDL strings. Text sources are read as text and converted; nothing is inferred."""
 
-from pyspark.sql.types import StructType
-
-_DDL = {
+SCHEMAS: dict[str, str] = {
     "stg_item_master": "id bigint, sku string, name string, description string, cas string, brand string, "
     "family string, vendor string, raw string, loaded_at timestamp",
     "stg_customers": "customer_code string, name string, segment string, region string, raw string",
@@ -46,8 +44,6 @@ _DDL = {
     "occurred_at timestamp, metadata string",
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _DDL.items()}
-
 
 def empty(spark, table: str):
     """An empty table; the state before the first run."""
