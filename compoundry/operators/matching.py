@@ -8,6 +8,7 @@ join on (block, share): every row still sees every pattern.
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,17 +16,27 @@ from pyspark.sql import functions as F
 MAX_LITERAL_PATTERNS = 200
 
 
+def _any(patterns: list[str], flags: str) -> str | None:
+    """One pattern that matches where any of them does, for lists of patterns anchored at the start.
+
+    None where it would not pay (patterns that may match anywhere) or could change their meaning (references).
+    """
+    if not all(p.startswith("^") for p in patterns) or any(re.search(r"\\[1-9]|\(\?<[A-Za-z]|\\k<", p) for p in patterns):
+        return None
+    return flags + "^(?:" + "|".join(f"(?:{p})" for p in patterns) + ")"
+
+
 def pattern_array(text: Column, rows: list[dict], fields: list[str], flags: str = "") -> Column:
-    """The rows whose pattern is found in ``text``, as an array of structs of ``fields``."""
-    return F.filter(
-        F.array(
-            *[
-                F.when(text.rlike(flags + r["pattern"]), F.struct(*[F.lit(r[f]).alias(f) for f in fields]))
-                for r in rows
-            ]
-        ),
-        lambda x: x.isNotNull(),
+    """The rows whose pattern is found in ``text``, as an array of structs of ``fields``.
+
+    Where patterns are whole-text forms most texts match none: one joint pattern tells that first.
+    """
+    entries = [F.struct(*[F.lit(r[f]).alias(f) for f in fields]) for r in rows]
+    hits = F.filter(
+        F.array(*[F.when(text.rlike(flags + r["pattern"]), e) for r, e in zip(rows, entries)]), lambda x: x.isNotNull()
     )
+    joint = _any([r["pattern"] for r in rows], flags)
+    return hits if joint is None else F.when(text.rlike(joint), hits).otherwise(F.filter(F.array(entries[0]), lambda x: F.lit(False)))
 
 
 def match_patterns(

@@ -99,14 +99,17 @@ def build_seed(
     rows = items if scope is None else scope_join(scope, items)
     if staging is not None:
         rows = with_raw(rows, staging)
-    base = rows.select(
-        "source_item_id", "sku", "name", "cas", "raw", strip_noise_name(F.col("name")).alias("_clean")
-    )
     raw_firsts = F.transform(
         F.map_values(F.from_json("raw", "map<string,string>")),
         lambda v: F.nullif(F.regexp_extract(F.lower(v), P.CAS_TOKEN, 0), F.lit("")),
     )
-    raw_cas = F.array_min(F.filter(raw_firsts, lambda v: v.isNotNull()))
+    base = rows.select(
+        "source_item_id", "sku", "name", "cas",
+        F.array_min(F.filter(raw_firsts, lambda v: v.isNotNull())).alias("_raw_cas"),
+        F.lower("name").alias("_lower"),
+        strip_noise_name(F.col("name")).alias("_clean"),
+    )
+    raw_cas = F.col("_raw_cas")
     named = (F.col("name") != "") & (F.length("_clean") >= 3)
     titled = title_case(F.col("_clean"))
     branches = [
@@ -129,7 +132,7 @@ def build_seed(
             extra = alias_match(rows, rows_alias).select("source_item_id", "query", "hint", _branch("alias").alias("seq"))
             rows_alias = []
     if rows_alias:
-        hits = pattern_array(F.lower("name"), rows_alias, ["replacement", "hint"])
+        hits = pattern_array(F.col("_lower"), rows_alias, ["replacement", "hint"])
         branches.append(F.transform(hits, lambda a, i: _entry(a["replacement"], a["hint"], _branch("alias", i))))
     flat = base.select("source_item_id", F.explode(F.concat(*branches, *late)).alias("q")).select(
         "source_item_id", "q.query", "q.hint", "q.seq"
