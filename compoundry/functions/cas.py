@@ -19,6 +19,15 @@ def _digits(c: Column) -> Column:
     return F.regexp_replace(c, "[^0-9]", "")
 
 
+def _with_digits(c: Column, body) -> Column:
+    """``body`` of the digits of a text, which are taken once.
+
+    A filter does not share common parts of an expression, and the digits occur many times in the check;
+    bound to a lambda variable they are computed once wherever the optimizer moves the expression.
+    """
+    return F.get(F.transform(F.array(_digits(c)), body), F.lit(0))
+
+
 def _hyphenated(d: Column) -> Column:
     n = F.length(d)
     return F.concat(
@@ -41,20 +50,17 @@ def _check_digit_ok(d: Column) -> Column:
 
 def normalize_cas(c: Column) -> Column:
     """five to ten digits as ``a-bb-c``; no check of the last digit."""
-    d = _digits(c)
-    return F.when(F.length(d).between(5, 10), _hyphenated(d))
+    return _with_digits(c, lambda d: F.when(F.length(d).between(5, 10), _hyphenated(d)))
 
 
 def cas_is_valid(c: Column) -> Column:
     """right length and right check digit; NULL counts as invalid."""
-    d = _digits(c)
-    return F.when(F.length(d).between(5, 10), _check_digit_ok(d)).otherwise(F.lit(False))
+    return F.coalesce(_with_digits(c, lambda d: F.length(d).between(5, 10) & _check_digit_ok(d)), F.lit(False))
 
 
 def cas_normalize(c: Column) -> Column:
     """F03 for valid numbers, NULL for others."""
-    d = _digits(c)
-    return F.when(F.length(d).between(5, 10) & _check_digit_ok(d), _hyphenated(d))
+    return _with_digits(c, lambda d: F.when(F.length(d).between(5, 10) & _check_digit_ok(d), _hyphenated(d)))
 
 
 def extract_cas_bounded(c: Column) -> Column:

@@ -17,13 +17,13 @@ MAX_LITERAL_PATTERNS = 200
 
 
 def _any(patterns: list[str], flags: str) -> str | None:
-    """One pattern that matches where any of them does, for lists of patterns anchored at the start.
+    """One pattern that matches where any of them does, for lists of patterns that begin with an anchor.
 
     None where it would not pay (patterns that may match anywhere) or could change their meaning (references).
     """
     if not all(p.startswith("^") for p in patterns) or any(re.search(r"\\[1-9]|\(\?<[A-Za-z]|\\k<", p) for p in patterns):
         return None
-    return flags + "^(?:" + "|".join(f"(?:{p})" for p in patterns) + ")"
+    return flags + "|".join(f"(?:{p})" for p in patterns)
 
 
 def pattern_array(text: Column, rows: list[dict], fields: list[str], flags: str = "") -> Column:
