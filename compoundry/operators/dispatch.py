@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import hint_normalize, priority_class, strip_ws
 from .seed import linked_ids, unlinked
+from .skew import split_hot_join
 
 _KEY = ["source_item_id", "_q", "_h"]
 
@@ -26,12 +27,13 @@ def unsent(queries: DataFrame, log: DataFrame) -> DataFrame:
 
 def unsent_unlinked(queries: DataFrame, items: DataFrame, xref: DataFrame, log: DataFrame) -> DataFrame:
     """Unsent queries of items that have no compound link."""
-    return unsent(queries.join(unlinked(items, xref).select("source_item_id"), "source_item_id", "left_semi"), log)
+    open_items = unlinked(items, xref).select("source_item_id")
+    return unsent(split_hot_join(queries, open_items, ["source_item_id"], "left_semi"), log)
 
 
 def clear_log(log: DataFrame, items: DataFrame, xref: DataFrame) -> DataFrame:
     """The log without the rows of unlinked products, so that they are sent again."""
-    return log.join(unlinked(items, xref).select("source_item_id"), "source_item_id", "left_anti")
+    return split_hot_join(log, unlinked(items, xref).select("source_item_id"), ["source_item_id"], "left_anti")
 
 
 def cap_topn(queries: DataFrame, n: int = 3, order: list[Column] | None = None) -> DataFrame:

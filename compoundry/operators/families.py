@@ -46,5 +46,6 @@ def family_by_registry(
     )
     products = items.select(F.col("source_item_id").alias("product_id"))
     pairs = split_hot_join(links, matched.select("chem_id", "family_id"), ["chem_id"]).select(*_PAIR).distinct()
+    # distinct pairs: a product has at most one row per family here, however many links it has
     new = pairs.join(products, "product_id", "left_semi").join(assigned.select(*_PAIR), _PAIR, "left_anti")
     return new.withColumn("confidence", F.lit(P.CONF_FAMILY_REGISTRY))

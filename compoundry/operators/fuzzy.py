@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from .. import patterns as P
 from ..functions.trigram import packed_trigrams
 from ..session import durable
+from .skew import split_hot_join
 
 RANKED_GRAMS = 4096
 ROWS_PER_CELL = 20_000
@@ -113,7 +114,8 @@ def fuzzy_best(docs: DataFrame, items: DataFrame, threshold: float = P.FUZZY_THR
     ranked_names = durable(_ranked(names, common), "fuzzy-index")
 
     def to_docs(best: DataFrame) -> DataFrame:
-        return todo.join(best, "grams").groupBy("doc_id").agg(F.max("best").alias("best"))
+        matched = split_hot_join(todo, best, ["grams"], unique_right=True)
+        return matched.groupBy("doc_id").agg(F.max("best").alias("best"))
 
     equal = texts.select("grams").join(names, "grams").select(
         "grams", F.struct(F.lit(1.0).alias("sim"), (-F.col("item_id")).alias("neg")).alias("best")

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .skew import split_hot_join
+
 
 def check(df: DataFrame, rule: Column) -> DataFrame:
     """Rows for which ``rule`` is false."""
@@ -48,7 +50,7 @@ def check_unique_expr(df: DataFrame, keys: dict[str, Column]) -> DataFrame:
 def check_reference(child: DataFrame, column: str, parent: DataFrame, parent_column: str) -> DataFrame:
     """Rows that point to no parent; a NULL reference passes."""
     keys = parent.select(F.col(parent_column).alias(column)).distinct()
-    return child.filter(F.col(column).isNotNull()).join(keys, column, "left_anti")
+    return split_hot_join(child.filter(F.col(column).isNotNull()), keys, [column], "left_anti")
 
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
@@ -72,4 +74,4 @@ def json_repair_counts(df: DataFrame, column: str) -> DataFrame:
 def cascade_delete(child: DataFrame, column: str, surviving: DataFrame, parent_column: str) -> DataFrame:
     """Children whose parent is still there."""
     keys = surviving.select(F.col(parent_column).alias(column)).distinct()
-    return child.join(keys, column, "left_semi")
+    return split_hot_join(child, keys, [column], "left_semi")

@@ -109,7 +109,8 @@ def product_properties(items: DataFrame, xref: DataFrame, registry: DataFrame) -
     products = items.select(
         F.col("source_item_id").alias("product_id"), "sku", "name", F.col("cas").alias("product_cas")
     )
-    return split_hot_join(links, facts, ["chem_id"], "left").join(products, "product_id").select(
+    owned = split_hot_join(links, products, ["product_id"], unique_right=True)
+    return split_hot_join(owned, facts, ["chem_id"], "left", count_from=links).select(
         "product_id", "sku", "name", "product_cas", "pubchem_cid",
         "formula", "mol_weight", "iupac_name", "canonical_smiles", "inchikey",
     )

@@ -37,7 +37,7 @@ def hot_keys(left: DataFrame, right: DataFrame | None, on: list[str], rows_per_s
 
     return (
         counts.filter((F.col("_l") > rows_per_split) | (F.col("_r") > rows_per_split))
-        .orderBy(F.greatest("_l", "_r").desc())
+        .orderBy(F.greatest("_l", "_r").desc(), *on)  # a total order: both sides must see the same list
         .limit(MAX_HOT_KEYS)
         .select(
             *[F.col(k).alias("_hot_" + k) for k in on],
@@ -53,15 +53,19 @@ def split_hot_join(
     on: list[str],
     how: str = "inner",
     rows_per_split: int = ROWS_PER_SPLIT,
+    unique_right: bool = False,
+    count_from: DataFrame | None = None,
 ) -> DataFrame:
     """``left.join(right, on, how)`` with hot keys spread over several tasks.
 
     A row of the hot side keeps one share of its key, chosen by the task that reads it (so exact
     copies spread too, and a repeated task chooses the same); the other side is repeated per share.
-    Inner joins split both sides; other joins split the left side only.
+    Inner joins split both sides; other joins, and joins whose right side has one row per key, split the
+    left side only. ``count_from`` names a cheaper frame to count the keys of the left side in.
     """
-    both = how == "inner"
-    hot = F.broadcast(hot_keys(left, right if both else None, on, rows_per_split))
+    both = how == "inner" and not unique_right
+    counted = left if count_from is None else count_from
+    hot = F.broadcast(hot_keys(counted, right if both else None, on, rows_per_split))
     share = F.xxhash64(*[F.col(k) for k in on], F.spark_partition_id())
 
     def one(n: str) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cas import is_cas_shaped
 from ..functions.text import strip_ws
+from ..operators.skew import split_hot_join
 from ..operators.upsert import reduce_first
 
 FACTS = ["cid", "molecular_formula", "molecular_weight", "iupac_name"]
@@ -49,6 +50,6 @@ def enrich_lookup(requests: DataFrame, index: DataFrame) -> DataFrame:
         .groupBy("_text")
         .agg(F.min_by(F.struct(*FACTS), F.when(F.col("kind") == "cas", 0).otherwise(1)).alias("_hit"))
     )
-    return requests.withColumn("_text", text).join(hits, "_text", "left").select(
+    return split_hot_join(requests.withColumn("_text", text), hits, ["_text"], "left").select(
         *requests.columns, *[F.col("_hit")[c].alias(c) for c in FACTS]
     )

@@ -25,6 +25,13 @@ def test_split_hot_join(spark, how):
     assert rows(got) == rows(a.join(b, ["k"], how))
 
 
+def test_split_hot_join_with_unique_right(spark):
+    a = spark.createDataFrame([("hot", 1)] * 200 + [("b", 2), (None, 3)], "k string, x int").repartition(6)
+    b = spark.createDataFrame([("hot", 1), ("b", 2), (None, 4)], "k string, y int")
+    got = split_hot_join(a, b, ["k"], rows_per_split=10, unique_right=True, count_from=a.select("k"))
+    assert rows(got) == rows(a.join(b, ["k"]))
+
+
 def test_split_hot_join_spreads_the_hot_key(spark):
     a = spark.range(4000).select(F.lit("hot").alias("k"), F.col("id")).repartition(8)
     b = spark.createDataFrame([("hot", 1)], "k string, y int")
