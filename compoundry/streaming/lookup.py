@@ -28,13 +28,15 @@ def lookup_index(compounds: DataFrame) -> DataFrame:
     return reduce_first(flat, ["kind", "key"], order)
 
 
-def enrich_lookup(requests: DataFrame, index: DataFrame) -> DataFrame:
+def enrich_lookup(requests: DataFrame, index: DataFrame, column: str = "query") -> DataFrame:
     """Facts of the compound found by number (when the query is one), else by name.
 
+    Rows with NULL in ``column`` ask nothing and get no facts.
+
     Distinct query texts meet the index first; in a small batch that side is broadcast, so the index is
     filtered where it lies and is not shuffled per batch. Repeats of a query get the result afterwards.
     """
-    text = strip_ws(F.col("query"))
+    text = strip_ws(F.col(column))
     asked = requests.select(text.alias("_text")).filter(F.col("_text") != "").distinct()
     keys = asked.select(
         "_text",

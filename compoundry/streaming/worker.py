@@ -34,10 +34,9 @@ def validate_route(decoded: DataFrame) -> DataFrame:
 
 
 def enrich_route(validated: DataFrame, index: DataFrame) -> DataFrame:
-    """Look up what is still in the race; refused rows skip the lookup and get empty facts."""
-    open_rows = validated.filter(F.col("error").isNull())
-    closed = validated.filter(F.col("error").isNotNull())
-    return enrich_lookup(open_rows, index).unionByName(closed, allowMissingColumns=True)
+    """Look up what is still in the race; refused rows ask nothing and get empty facts."""
+    asking = validated.withColumn("_ask", F.when(F.col("error").isNull(), F.col("query")))
+    return enrich_lookup(asking, index, "_ask").drop("_ask")
 
 
 def gate_route(enriched: DataFrame) -> DataFrame:
