@@ -552,7 +552,7 @@ def _(t):
 )
 def _(t):
     a = messages.request_messages(t.fx_log, now())
-    b = messages.request_messages(predicates.named_items(t.fx_items), now(), requested_by="produce_from_names")
+    b = messages.request_messages(predicates.named_items(t.fx_items), now(), requested_by="names")
 
     def g(k):
         return F.get_json_object("value", "$." + k)
