@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, pieces
+from . import counts, pieces, quality, secrets
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,48 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+
+
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(documents(spark, sf_dir))
+    return judged.select("_row.doc_id", *quality.MEASURES, "base_failed", "kept")
+
+
+ORACLES["op5_quality_rules"] = r"""
+with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+w as (select r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') as ws,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ls from d),
+g as (select r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] as gram
+      from (select r, ws, unnest(range(1, len(ws) - 1)) as i from w where len(ws) >= 3)),
+twice as (select r, i from (select r, i, count(*) over (partition by r, gram) as n from g) where n > 1),
+hit as (select r, count(distinct i + k) as n from twice, (values (0), (1), (2)) as o(k) group by r),
+m as (select doc_id, ws, ls, t, len(ws) as n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) as word_chars,
+             length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) as n_symbols,
+             len(ls) - len(list_distinct(ls)) as n_dup_lines, coalesce(hit.n, 0) as n_repeat_words
+      from w left join hit using (r)),
+b as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed from m)
+select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
+       n_dup_lines::bigint as n_dup_lines, n_repeat_words::bigint as n_repeat_words, base_failed,
+       not (base_failed or 100 * n_symbols > 20 * n_words or 100 * n_dup_lines > 40 * len(ls)
+            or word_chars < 2 * n_words or word_chars > 15 * n_words
+            or 100 * len(list_filter(ws, lambda x: regexp_matches(x, '\pL'))) < 70 * n_words
+            or 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 60 * word_chars) as kept
+from b
+"""
+
+
+@query
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of every document, by models trained on labelled samples of the table."""
+    docs = documents(spark, sf_dir)
+    scanned = secrets.scan(docs, secrets.train(secrets.labelled(docs)))
+
+    def n(kind: int):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    return scanned.select(
+        "_row.doc_id", n(0).alias("n_assign"), n(1).alias("n_access"), n(2).alias("n_hex"),
+        F.sha2(secrets.span_text(F.filter("secrets", lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
+        secrets.span_text(F.col("secrets")).alias("spans"),
+    )
