@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, pieces, quality, secrets
+from . import counts, minmax, pieces, quality, secrets
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,6 +79,11 @@ from b
 """
 
 
+@query
+def op6_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.linked(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of every document, by models trained on labelled samples of the table."""
