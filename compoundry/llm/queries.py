@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, minmax, pieces, quality, secrets
+from . import counts, licenses, minmax, packing, pieces, quality, secrets
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,11 +45,58 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir)).drop("spans")
+
+
+def license_oracle() -> str:
+    """Votes by diagonal in SQL; the templates' pairs stand in it as values."""
+    templates = [*licenses.PHRASES, *licenses.NOTICES]
+    rows = ", ".join(
+        f"('{t.label}', {str(t.exact).lower()}, {q}, {len(w) - 1}, '{w[q]} {w[q + 1]}')"
+        for t in templates for w in [t.words.split()] for q in range(len(w) - 1))
+    return rf"""
+with d as (select row_number() over () as r, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as ws from documents),
+g as (select r, i - 1 as p, ws[i] || ' ' || ws[i + 1] as pair from (select r, ws, unnest(range(1, len(ws))) as i from d)),
+t(label, base, q, m, pair) as (values {rows}),
+h as (select r, label, base, m, p, q, p - q as dg from g join t using (pair)),
+v as (select r, label, base, m, dg, count(distinct q) as n from h group by all),
+f as (select r, label, dg as s, 1.0::double as cover, true as base from v where base and n = m),
+c as (select r, label, dg, sum(head) over (partition by r, label order by dg) as run from
+      (select r, label, dg, case when dg - lag(dg) over (partition by r, label order by dg) > {licenses.GAP} then 1 else 0 end as head
+       from v where not base)),
+x as (select r, label, m, run, count(distinct q) as n, min(p) as s, max(p) + 2 as e
+      from h join c using (r, label, dg) group by all),
+y as (select r, label, s, n / m as cover, false as base from x
+      where 100 * n >= {licenses.COVER} * m and 100 * (e - s) <= {licenses.LENGTH} * (m + 1)),
+z as (select * from f union all select * from y),
+o as (select r, count(*) filter (where base) as n_base, min(s) filter (where base) as first_word,
+             max(s) filter (where base) as last_word,
+             string_agg(distinct label, ',' order by label) filter (where base) as base_labels,
+             string_agg(distinct label, ',' order by label) as labels, max(cover) as score from z group by r)
+select doc_id, len(ws)::bigint as n_words, coalesce(n_base, 0)::bigint as n_base, first_word::bigint as first_word,
+       last_word::bigint as last_word, coalesce(base_labels, '') as base_labels, coalesce(labels, '') as labels,
+       coalesce(score, 0)::double as score
+from d left join o using (r)
+"""
+
+
+ORACLES["op2_license_scans"] = license_oracle()
+
+
 @query
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.count_tokens(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
 
 
+@query
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality.judge(documents(spark, sf_dir))
