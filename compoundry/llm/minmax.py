@@ -14,6 +14,8 @@ are computed for a signature of the same length. Four values make a band; sets t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -45,7 +47,7 @@ def set_key(h: np.ndarray) -> bytes:
     return xxhash.xxh128_digest(h.tobytes())
 
 
-def signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def signed(docs: DataFrame, doc_id: str, text: str, bands: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles``, ``set_key`` (null without shingles) and ``bands`` of every row."""
     def run(batch: pa.RecordBatch) -> list[pa.Array]:
         sets = [shingle_set(t, SHINGLE) for t in strings(batch, text)]
@@ -99,14 +101,15 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.filter(100 * common >= percent * (F.size("_a") + F.size("_b") - common)).select("a", "b")
 
 
-def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
+           band_hashes: Callable[[np.ndarray], np.ndarray] = bands) -> DataFrame:
     """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` (least id reachable) and ``kept``, for every row.
 
     Null and empty texts, and texts without words, have no shingles and are linked with nothing. Repeated rows get
     equal results. A row with a null id joins the component of its text, and is kept only where that has no other id.
     An empty table gives no rows; other columns are not read.
     """
-    rows = durable(signed(docs, doc_id, text), "signed")
+    rows = durable(signed(docs, doc_id, text, band_hashes), "signed")
     nodes = rows.filter("set_key is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"),
         F.min(F.struct("doc_id", "text_hash")).alias("source"), F.first("bands").alias("bands"))

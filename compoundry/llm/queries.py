@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, licenses, minmax, packing, pieces, quality, secrets
+from . import counts, fingerprints, licenses, minmax, packing, pieces, quality, secrets
 from .common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +145,8 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.span_text(F.filter("secrets", lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
         secrets.span_text(F.col("secrets")).alias("spans"),
     )
+
+
+@query
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.in_order(documents(spark, sf_dir))

@@ -34,16 +34,19 @@ def constants(seed: int, n: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=U) * U(0x9E3779B97F4A7C15) + U(seed)) | U(1)
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    if len(_words) > MOST_WORDS:
+        _words.clear()
+    return np.fromiter(map(_words.__getitem__, words), U, len(words))
+
+
 def shingle_set(text: str | None, size: int = 5) -> np.ndarray:
     """Sorted distinct hashes of the ``size``-word shingles of a text, A-Z lower-cased, words cut at ASCII blanks.
 
     A text of fewer words has one shingle, its whole word sequence; a text without words none.
     """
-    if len(_words) > MOST_WORDS:
-        _words.clear()
-    words = (text or "").encode().lower().split()
-    n = len(words)
-    h = np.fromiter(map(_words.__getitem__, words), U, n)
+    h = word_hashes((text or "").encode().lower().split())
+    n = len(h)
     if not n:
         return h
     c = constants(11, size)
