@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import counts, fingerprints, licenses, minmax, packing, pieces, quality, secrets
-from .common import documents
+from . import chats, counts, fingerprints, licenses, minmax, packing, pieces, quality, secrets, sharding
+from .common import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -150,3 +150,81 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.in_order(documents(spark, sf_dir))
+
+
+SHARDS = [f"shard-{k:03d}" for k in range(128)]
+
+
+@query
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shard of every document, and the one it has when one more shard joins."""
+    rows = documents(spark, sf_dir).select("doc_id")
+    both = sharding.place(sharding.place(rows, "doc_id", SHARDS), "doc_id", [*SHARDS, "shard-128"], "next_shard")
+    return both.select("doc_id", "slot", "shard", "next_shard")
+
+
+def sharding_oracle() -> str:
+    def listed(shards: list[str]) -> str:
+        return "[" + ", ".join(f"'{s}'" for s in sharding.fill(shards)) + "]"
+
+    return f"""
+with k as (select doc_id, ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 8))::bigint % {sharding.SLOTS} as slot from documents),
+t as (select {listed(SHARDS)} as a, {listed([*SHARDS, 'shard-128'])} as b)
+select doc_id, slot::int as slot, a[slot + 1] as shard, b[slot + 1] as next_shard from k, t
+"""
+
+
+ORACLES["op9_sharding"] = sharding_oracle()
+
+TOOLS = {
+    "search": {"query": (chats.STRING, True), "limit": (chats.WHOLE, True), "exact": (chats.TRUTH, False)},
+    "fetch": {"query": (chats.STRING, True), "weight": (chats.NUMBER, False)},
+}
+
+
+@query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations read as tool use: a user's turn is a call, which uses the result of the user's turn before it;
+    the assistant's turn that follows is its result. Arguments hang on the text, so that some break the schema."""
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    n, own = F.length("text"), F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+    calls = said.filter("role = 'user'").select(
+        "conv_id", "turn", own.alias("call_id"),
+        F.when(F.col("turn") >= 2, F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - 2).cast("string"))).alias("after"),
+        F.when(n % 7 == 0, "fetch").when(n % 11 == 0, "guess").otherwise("search").alias("name"),
+        F.when(n % 13 == 0, F.lit("not json")).otherwise(F.to_json(F.struct(
+            F.col("text").alias("query"), F.when(n % 3 != 0, n).alias("limit"),
+            F.when(n % 5 == 0, F.lit("yes")).alias("exact")))).alias("arguments"))
+    results = said.filter("role = 'assistant'").select(
+        "conv_id", "turn", F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string")).alias("call_id"),
+        F.col("text").alias("content"))
+    linked = chats.link(calls, results, TOOLS)
+    return linked.withColumn("faults", F.array_join("faults", ","))
+
+
+ORACLES["op10_chat_format"] = r"""
+with recursive s as (select conv_id, turn, role, text, length(text) as n from conversations),
+c as (select conv_id, turn, conv_id || '-' || turn as call_id, case when turn >= 2 then conv_id || '-' || (turn - 2) end as after,
+             case when n % 7 = 0 then 'fetch' when n % 11 = 0 then 'guess' else 'search' end as name, n, text,
+             n % 13 <> 0 as good, n % 3 <> 0 as has_limit, n % 5 = 0 as has_exact from s where role = 'user'),
+u as (select distinct call_id, after from c),
+l as (select call_id, 0 as depth from u where after is null or after not in (select call_id from u)
+      union all select u.call_id, l.depth + 1 from u join l on u.after = l.call_id),
+r as (select conv_id, turn, conv_id || '-' || (turn - 1) as call_id, text from s where role = 'assistant')
+select conv_id, turn, 'call' as kind, call_id, 2 * depth::bigint as level,
+       call_id in (select call_id from r) as linked,
+       case when name = 'guess' then 'unknown tool' when not good then 'no object'
+            when name = 'fetch' then array_to_string(list_filter([case when has_exact then 'extra exact' end,
+                 case when has_limit then 'extra limit' end], lambda x: x is not null), ',')
+            else array_to_string(list_filter([case when not has_limit then 'missing limit' end,
+                 case when has_exact then 'type exact' end], lambda x: x is not null), ',') end as faults,
+       '{' || case when good then '"arguments":{' || case when has_exact then '"exact":"yes",' else '' end
+           || case when has_limit then '"limit":' || n || ',' else '' end || '"query":' || to_json(text) || '},' else '' end
+           || '"id":' || to_json(call_id) || ',"name":"' || name || '","type":"call"}' as json
+from c join l using (call_id)
+union all
+select conv_id, turn, 'result', call_id, coalesce(2 * depth::bigint + 1, 1), depth is not null,
+       case when depth is null then 'no call' else '' end,
+       '{"content":' || to_json(text) || ',"id":' || to_json(call_id) || ',"type":"result"}'
+from r left join l using (call_id)
+"""
