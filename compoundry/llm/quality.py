@@ -134,3 +134,13 @@ def judge(docs: DataFrame, rules: Sequence[Rule] | None = None, base: Sequence[R
     df = measured(docs, text).withColumn("base_failed", failed)
     kept = F.when(F.col("base_failed"), F.lit(False)).otherwise(cascade(ordered(rules, found)).isNull())
     return df.select("_row", *MEASURES, "base_failed", kept.alias("kept"))
+
+
+def kept_rows(judged: DataFrame) -> DataFrame:
+    """The documents that ``judge`` keeps, with their own columns.
+
+    The running number keeps the optimizer from moving the filter below the measures, where each use of a measure
+    would be worked out anew.
+    """
+    numbered = judged.select("_row", "kept", F.monotonically_increasing_id().alias("_number"))
+    return numbered.filter(F.col("kept") & (F.col("_number") >= 0)).select("_row.*")
