@@ -15,7 +15,7 @@ from compoundry.llm.common import documents, durable
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the cascade reject go; the others stay as they are."""
-    return quality.judge(docs).filter("kept").select("_row.*")
+    return quality.kept_rows(quality.judge(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
