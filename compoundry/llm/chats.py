@@ -66,6 +66,8 @@ def link(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
     with the same identifier the earliest counts for order. Null identifiers are linked with nothing; arguments that
     are null or no JSON are a fault and are left out of the JSON. Repeated rows stay. Other columns are not read.
     """
+    calls = calls.select("conv_id", "turn", "call_id", "after", "name", "arguments")
+    results = results.select("conv_id", "turn", "call_id", "content")
     nodes = calls.filter("call_id is not null").groupBy("call_id").agg(F.min(F.struct("turn", "after")).alias("_first"))
     depth = depths(nodes.select(F.col("call_id").alias("id"), F.col("_first.after").alias("after")))
     depth = depth.select(F.col("id").alias("_id"), "depth", F.lit(True).alias("_there"))

@@ -20,15 +20,18 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 KINDS = ["assign", "access", "hex", "markov"]
 
-#: A candidate of the method: a run of such characters, at least so long, with a letter and a digit.
+#: A candidate of the method: a run of such characters, at least so long, with a letter and a digit, and with at most
+#: one hyphen or underscore in sixteen characters (dates and joined names have more).
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 CLASSES = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-+"
 #: Thousandths of a nat for each pair of characters by which "random" must be the better explanation.
 MARGIN = 700
 #: Documents, as a mean, from which labelled samples are taken (chosen by a hash of their id and text).
 SAMPLE_DOCS = 20_000
-#: Prior counts: the random model leans towards all characters alike, the ordinary one towards what it has seen.
-PRIOR = {True: 20.0, False: 0.5}
+#: Prior pairs for each character: the random model leans towards all characters alike, the ordinary one towards how
+#: often a character is seen at all, which is held to be at least FLOOR.
+PRIOR = {True: 1280.0, False: 32.0}
+FLOOR = 0.002
 MASK = "[SECRET]"
 BLOCK = 512
 
@@ -51,22 +54,17 @@ def train(samples: DataFrame) -> list[int]:
     for random, pair, n in pairs.groupBy("random", "pair").count().collect():
         counts[bool(random)][pair] = n
 
+    seen = [sum(counts[False][b::64]) for b in range(64)]
+    even = 1 / 64
+    usual = [even if not sum(seen) else max(n / sum(seen), FLOOR) for n in seen]
+
     def log(random: bool, a: int, b: int) -> float:
         own, prior = counts[random], PRIOR[random]
-        return math.log((own[64 * a + b] + prior) / (sum(own[64 * a: 64 * a + 64]) + 64 * prior))
+        return math.log((own[64 * a + b] + prior * (even if random else usual[b])) / (sum(own[64 * a: 64 * a + 64]) + prior))
 
     return [round(1000 * (log(True, p // 64, p % 64) - log(False, p // 64, p % 64))) for p in range(4096)]
 
 
-def ratio(classes_of: str, table: Sequence[int]) -> Column:
-    """Sum of the table over the pairs of a column of classes."""
-    lookup = F.expr(f"array({','.join(map(str, table))})")
-    return F.aggregate(
-        F.transform(F.sequence(F.lit(1), F.size(classes_of) - 1),
-                    lambda k: F.get(lookup, F.get(classes_of, k - 1) * 64 + F.get(classes_of, k))),
-        F.lit(0).cast("long"), lambda a, x: a + x)
-
-
 def labelled(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """Labelled samples of a corpus: values that the fixed patterns find are random; long words are ordinary.
 
@@ -144,7 +142,9 @@ def scan(docs: DataFrame, table: Sequence[int], text: str = "text", margin: int
                     kind("_hex", 2, lambda s: F.lit(True)))
     df = df.select("_row", "_text", F.array_sort(base).alias("_base"))
     df = located(df, CANDIDATE, "_candidates")
-    likely = F.filter("_candidates", lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
+    likely = F.filter("_candidates", lambda s: (
+        s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")
+        & (16 * F.regexp_count(s["value"], F.lit("[-_]")) <= F.length(s["value"]))))
     df = df.select("_row", "_text", "_base", likely.alias("_likely"))
     df = df.select("*", F.transform("_likely", lambda s: classes(s["value"])).alias("_classes"))
     lookup = F.expr(f"array({','.join(map(str, table))})")
