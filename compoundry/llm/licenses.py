@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from .common import ascii_lower
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before A-Z are lower-cased.
+ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Diagonals at most so far apart belong to one span.
 GAP = 2
 #: Hundredths of a template's pairs that a span must cover, and of its length that a span may have.
@@ -79,18 +81,18 @@ def spans(docs: DataFrame, templates: Sequence[Template], doc_id: str = "doc_id"
     key = ["doc_id", "text_hash", "template"]
     votes = hits.groupBy(*key, "pairs", (F.col("p") - F.col("q")).alias("diagonal")).agg(
         F.collect_set("q").alias("qs"), F.min("p").alias("lo"), F.max("p").alias("hi"))
+    # Every diagonal of an exact phrase is a run of its own; neighbouring ones of a notice are one run.
     exact = F.col("template") < sum(t.exact for t in templates)
-    phrases = votes.filter(exact & (F.size("qs") == F.col("pairs"))).select(
-        *key, F.col("diagonal").alias("start"), (F.col("diagonal") + F.col("pairs") + 1).alias("end"), F.lit(1.0).alias("cover"))
     near = Window.partitionBy(*key).orderBy("diagonal")
-    head = F.coalesce((F.col("diagonal") - F.lag("diagonal").over(near) > GAP).cast("int"), F.lit(0))
-    runs = votes.filter(~exact).withColumn("head", head).withColumn("run", F.sum("head").over(near))
+    far = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(near) > GAP, F.lit(True))
+    runs = votes.withColumn("head", (exact | far).cast("int")).withColumn("run", F.sum("head").over(near))
     merged = runs.groupBy(*key, "pairs", "run").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("n"), F.min("lo").alias("start"),
         (F.max("hi") + 2).alias("end"))
-    notices = merged.filter((100 * F.col("n") >= COVER * F.col("pairs"))
-                            & (100 * (F.col("end") - F.col("start")) <= LENGTH * (F.col("pairs") + 1)))
-    return phrases.unionByName(notices.select(*key, "start", "end", (F.col("n") / F.col("pairs")).alias("cover")))
+    whole, n = F.col("pairs"), F.col("n")
+    rough = (100 * n >= COVER * whole) & (100 * (F.col("end") - F.col("start")) <= LENGTH * (whole + 1))
+    verified = merged.filter(F.when(exact, n == whole).otherwise(rough))
+    return verified.select(*key, "start", "end", (n / whole).alias("cover"))
 
 
 def scan(docs: DataFrame, phrases: Sequence[Template] = PHRASES, notices: Sequence[Template] = NOTICES,
@@ -116,7 +118,7 @@ def scan(docs: DataFrame, phrases: Sequence[Template] = PHRASES, notices: Sequen
     ).withColumnsRenamed({"doc_id": "_id", "text_hash": "_hash"})
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-        F.coalesce(F.regexp_count(ascii_lower(F.col(text)), F.lit(WORD)), F.lit(0)).cast("long").alias("n_words"))
+        F.coalesce(F.regexp_count(text, F.lit(ANY_CASE)), F.lit(0)).cast("long").alias("n_words"))
     out = rows.join(by_doc, rows["doc_id"].eqNullSafe(by_doc["_id"]) & (rows["text_hash"] == by_doc["_hash"]), "left")
     return out.select(
         "doc_id", "n_words", F.coalesce("n_base", F.lit(0)).cast("long").alias("n_base"), "first_word", "last_word",
