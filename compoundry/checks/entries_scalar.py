@@ -463,10 +463,19 @@ def _(t):
     return back.select("query_name", "source_item_id", "CID", "MolecularWeight", "InChI", "Synonyms")
 
 
-@entry("S05_file_digest_load")
+@entry(
+    "S05_file_digest_load",
+    "select sha256(text) file_sha256, arg_max(stem, path) title, arg_min(stem || '.pdf', path) filename from (select text, "
+    "'doc ' || doc_id || '.v' || length(text) % 3 stem, '/in/' || source || '/doc ' || doc_id || '.v' || length(text) % 3 || '.pdf' path "
+    "from documents where text is not null) group by 1",
+)
 def _(t):
-    # the folder scanned is the given data itself; one document per distinct content
-    return documents.load_documents(t.spark, t.dir, "*.parquet")
+    stem = F.concat(F.lit("doc "), F.col("doc_id"), F.lit(".v"), F.length("text") % 3)
+    files = t.documents.filter(F.col("text").isNotNull()).select(
+        F.concat(F.lit("/in/"), F.col("source"), F.lit("/"), stem, F.lit(".pdf")).alias("path"),
+        F.col("text").cast("binary").alias("content"),
+    )
+    return documents.documents_of(files)
 
 
 @entry(

@@ -122,9 +122,9 @@ def _(t):
     )
 
 
-@entry("T07_request_dedupe", "select distinct key from fx_requests")
+@entry("T07_request_dedupe", "select key, min(value) as value from fx_requests group by key")
 def _(t):
-    return dispatch.dedupe_requests(t.fx_requests.select("key", "value")).select("key")
+    return dispatch.dedupe_requests(t.fx_requests.select("key", "value"))
 
 
 @entry("T08_activity_stream", "select strftime(time_bucket(interval '30 minutes', ts),'%Y-%m-%d %H:%M:%S') window_start, event_type, count(*)::bigint n from events group by 1,2")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.text import hint_normalize, priority_class, strip_ws
 from .seed import linked_ids, unlinked
 from .skew import split_hot_join
+from .upsert import reduce_first
 
 _KEY = ["source_item_id", "_q", "_h"]
 
@@ -21,14 +22,15 @@ def _keyed(df: DataFrame) -> DataFrame:
 
 def unsent(queries: DataFrame, log: DataFrame) -> DataFrame:
     """Queries not in the log, any hint case, outer blanks ignored. Without item id: always unsent."""
-    sent = _keyed(log).select(*_KEY)
+    sent = _keyed(log).select(*_KEY).distinct()
     return _keyed(queries).join(sent, _KEY, "left_anti").withColumn("hint", F.col("_h")).drop("_q", "_h").select(*queries.columns)
 
 
 def unsent_unlinked(queries: DataFrame, items: DataFrame, xref: DataFrame, log: DataFrame) -> DataFrame:
     """Unsent queries of items that have no compound link."""
     open_items = unlinked(items, xref).select("source_item_id")
-    return unsent(split_hot_join(queries, open_items, ["source_item_id"], "left_semi"), log)
+    # an item has few queries, so its id is nearly unique here: no counting of keys
+    return unsent(queries.join(open_items, "source_item_id", "left_semi"), log)
 
 
 def clear_log(log: DataFrame, items: DataFrame, xref: DataFrame) -> DataFrame:
@@ -72,11 +74,12 @@ def pick_mode(choices: list[Callable[[], DataFrame]]) -> DataFrame:
     return last
 
 
-def dedupe_requests(messages: DataFrame) -> DataFrame:
-    """One message per key. On a stream, use ``dropDuplicatesWithinWatermark`` with a watermark."""
+def dedupe_requests(messages: DataFrame, order: str = "value") -> DataFrame:
+    """One message per key, the first by ``order`` (then by value). On a stream the first to arrive stays
+    (``dropDuplicatesWithinWatermark``, with a watermark)."""
     if messages.isStreaming:
         return messages.dropDuplicatesWithinWatermark(["key"])
-    return messages.dropDuplicates(["key"])
+    return reduce_first(messages, ["key"], F.struct(order, "value") if order != "value" else F.col("value")).select(*messages.columns)
 
 
 __all__ = [

@@ -1,19 +1,17 @@
 """Match text against a table of regular expressions.
 
-Pattern tables are short lists. Up to MAX_LITERAL_PATTERNS they become part of the projection, so a
-match costs no join at all. A longer table is cut into blocks, and rows and blocks meet in a hash
-join on (block, share): every row still sees every pattern.
+Pattern tables become part of the projection, so a match costs no join at all and patterns are compiled
+once. A long table stands there in blocks, so that no single expression grows with it.
 """
 
 from __future__ import annotations
 
-import math
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_LITERAL_PATTERNS = 200
+BLOCK = 200
 
 
 def _any(patterns: list[str], flags: str) -> str | None:
@@ -26,11 +24,7 @@ def _any(patterns: list[str], flags: str) -> str | None:
     return flags + "|".join(f"(?:{p})" for p in patterns)
 
 
-def pattern_array(text: Column, rows: list[dict], fields: list[str], flags: str = "") -> Column:
-    """The rows whose pattern is found in ``text``, as an array of structs of ``fields``.
-
-    Where patterns are whole-text forms most texts match none: one joint pattern tells that first.
-    """
+def _block(text: Column, rows: list[dict], fields: list[str], flags: str) -> Column:
     entries = [F.struct(*[F.lit(r[f]).alias(f) for f in fields]) for r in rows]
     hits = F.filter(
         F.array(*[F.when(text.rlike(flags + r["pattern"]), e) for r, e in zip(rows, entries)]), lambda x: x.isNotNull()
@@ -39,32 +33,32 @@ def pattern_array(text: Column, rows: list[dict], fields: list[str], flags: str
     return hits if joint is None else F.when(text.rlike(joint), hits).otherwise(F.filter(F.array(entries[0]), lambda x: F.lit(False)))
 
 
+def pattern_array(text: Column, rows: list[dict], fields: list[str], flags: str = "") -> Column:
+    """The rows whose pattern is found in ``text``, in the order of the table, as an array of structs of ``fields``.
+
+    Where patterns are whole-text forms most texts match none: one joint pattern of a block tells that first.
+    """
+    if not rows:
+        return F.filter(F.array(F.struct(*[F.lit("").alias(f) for f in fields])), lambda x: F.lit(False))
+    blocks = [_block(text, rows[i : i + BLOCK], fields, flags) for i in range(0, len(rows), BLOCK)]
+    return blocks[0] if len(blocks) == 1 else F.concat(*blocks)
+
+
+def pattern_rows(patterns: list[dict] | DataFrame, fields: list[str]) -> list[dict]:
+    """A pattern table as a list in its order: by ``position`` if it has such a column, else by pattern and fields.
+
+    Pattern tables are configuration: they are read whole, and nothing hangs on their size.
+    """
+    if not isinstance(patterns, DataFrame):
+        return list(patterns)
+    names = ["pattern", *[f for f in fields if f != "pattern"]]
+    order = ["position", *names] if "position" in patterns.columns else names
+    return [r.asDict() for r in patterns.orderBy(*order).select(*names).collect()]
+
+
 def match_patterns(
     df: DataFrame, text: str, patterns: list[dict] | DataFrame, fields: list[str], flags: str = ""
 ) -> DataFrame:
-    """Rows of ``df`` next to ``fields`` of every matching pattern."""
-    if isinstance(patterns, DataFrame):
-        head = [r.asDict() for r in patterns.select("pattern", *[f for f in fields if f != "pattern"]).limit(MAX_LITERAL_PATTERNS + 1).collect()]
-        if len(head) > MAX_LITERAL_PATTERNS:
-            return _match_blocks(df, text, patterns, fields, flags)
-        patterns = head
-    if not patterns:
-        raise ValueError("no patterns given")
-    found = F.explode(pattern_array(F.col(text), patterns, fields, flags))
+    """Rows of ``df`` next to ``fields`` of every matching pattern; without patterns, no rows."""
+    found = F.explode(pattern_array(F.col(text), pattern_rows(patterns, fields), fields, flags))
     return df.select("*", found.alias("_m")).select(*df.columns, *[F.col("_m")[f].alias(f) for f in fields])
-
-
-def _match_blocks(df: DataFrame, text: str, patterns: DataFrame, fields: list[str], flags: str) -> DataFrame:
-    blocks = math.ceil(patterns.count() / MAX_LITERAL_PATTERNS)
-    shares = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = df.withColumn("_share", F.pmod(F.xxhash64(F.spark_partition_id(), F.col(text)), F.lit(shares))).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    )
-    table = patterns.select(
-        *fields,
-        F.col("pattern").alias("_pattern"),
-        F.pmod(F.xxhash64("pattern"), F.lit(blocks)).cast("int").alias("_block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shares - 1).cast("long"))).alias("_share"),
-    )
-    joined = rows.join(table, ["_block", "_share"])
-    return joined.filter(F.rlike(F.col(text), F.concat(F.lit(flags), F.col("_pattern")))).select(*df.columns, *fields)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -109,7 +111,7 @@ def product_properties(items: DataFrame, xref: DataFrame, registry: DataFrame) -
     products = items.select(
         F.col("source_item_id").alias("product_id"), "sku", "name", F.col("cas").alias("product_cas")
     )
-    owned = split_hot_join(links, products, ["product_id"], unique_right=True)
+    owned = links.join(products, "product_id")  # a product has few links: no counting of keys
     return split_hot_join(owned, facts, ["chem_id"], "left", count_from=links).select(
         "product_id", "sku", "name", "product_cas", "pubchem_cid",
         "formula", "mol_weight", "iupac_name", "canonical_smiles", "inchikey",
@@ -155,10 +157,10 @@ def relink_to_compound(xref: DataFrame, registry: DataFrame, now: Column | None
 def named_cross(a: DataFrame, b: DataFrame, a_filter: Column, b_filter: Column, columns: list[Column]) -> DataFrame:
     """Pair the rows that two name filters pick.
 
-    The filters go first, and each side is spread over its own shares of a small grid, so that neither
-    side is gathered in one task: every pair meets in exactly one cell.
+    The filters go first, and each side is spread over its own shares of a grid with as many cells as there are
+    shuffle partitions, so that neither side is gathered in one task: every pair meets in exactly one cell.
     """
-    n = 8
+    n = max(2, math.ceil(math.sqrt(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")))))
     left = a.filter(a_filter).withColumn("_r", F.pmod(F.xxhash64(*a.columns), F.lit(n))).withColumn(
         "_c", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     )

@@ -9,7 +9,7 @@ from .. import patterns as P
 from ..functions.cas import extract_cas_loose, is_cas_shaped
 from ..functions.jsons import json_each_text
 from ..functions.text import seed_hint, seed_query, strip_noise_name, title_case
-from .matching import MAX_LITERAL_PATTERNS, match_patterns, pattern_array
+from .matching import match_patterns, pattern_array, pattern_rows
 
 ALIAS_ROWS = [dict(zip(("pattern", "replacement", "hint", "note"), r)) for r in P.ALIASES]
 
@@ -122,23 +122,13 @@ def build_seed(
         named & F.col("_clean").rlike("(?i)" + P.CHEMICAL_WORDS), _entry(titled, "name", _branch("chemical_name"))
     )
     late = [chemical] + ([_when(named, _entry(titled, "name", _branch("wide_name")))] if wide else [])
-    rows_alias = ALIAS_ROWS if alias is None else alias
-    extra = None
-    if isinstance(rows_alias, DataFrame):
-        head = rows_alias.select("pattern", "replacement", "hint").limit(MAX_LITERAL_PATTERNS + 1).collect()
-        if len(head) <= MAX_LITERAL_PATTERNS:
-            rows_alias = [r.asDict() for r in head]
-        else:
-            extra = alias_match(rows, rows_alias).select("source_item_id", "query", "hint", _branch("alias").alias("seq"))
-            rows_alias = []
+    rows_alias = pattern_rows(ALIAS_ROWS if alias is None else alias, ["replacement", "hint"])
     if rows_alias:
         hits = pattern_array(F.col("_lower"), rows_alias, ["replacement", "hint"])
         branches.append(F.transform(hits, lambda a, i: _entry(a["replacement"], a["hint"], _branch("alias", i))))
     flat = base.select("source_item_id", F.explode(F.concat(*branches, *late)).alias("q")).select(
         "source_item_id", "q.query", "q.hint", "q.seq"
     )
-    if extra is not None:
-        flat = flat.unionByName(extra)
     return (
         flat.groupBy("source_item_id", "query", "hint")
         .agg(F.min("seq").alias("seq"))

@@ -7,13 +7,14 @@ heading) travels as one small value per page (see ``carry``), so no document is
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import patterns as P
 from ..functions.cas import cas_normalize, extract_cas_bounded
 from ..functions.sheets import component_name, h_codes, p_codes, parse_concentration, section_tag, signal_words
 from ..functions.text import strip_ws
-from .carry import carry
+from .carry import RANGE, carry
 
 # A line that names a section; the number stands on the same line. The plain pattern knows the line
 # breaks of the regular expression engine; pages with rarer ones take the exact, slower pattern.
@@ -36,7 +37,9 @@ _INDENT = P.INLINE_WS + "*"
 _HEADING_AHEAD = r"(?imd)^(?=" + _INDENT + _HEAD + r"[^\n\x01" + P.WS[1:] + ")"
 _HEADING_AT_START = r"(?i)\A" + _INDENT + _HEAD + r"[^\n\x01" + P.WS[1:]
 _HEADING_PARTS = "(?i)^" + P.WS + "*" + _HEAD + r"([^\n]+?)" + P.WS + r"*(?:\n|\z)"
-_NEXT_CHARS = 64
+# What the next written pages must show of themselves: a number of two digits, what follows it, one separator and one
+# visible character are within eight visible characters. With each run of white space as one blank, sixteen hold them.
+_VISIBLE, _NEXT_CHARS = 8, 16
 
 
 def _lines(text: Column) -> Column:
@@ -157,20 +160,36 @@ def extract_hazards(lines: DataFrame) -> DataFrame:
     )
 
 
+def following(pages: DataFrame) -> DataFrame:
+    """Of every written page, the start of what comes after it: (``doc_id``, ``_range``, ``page_no``, ``_next``).
+
+    A short page shows little, so the starts of as many following written pages as may be needed are joined; each has
+    one visible character at least. Starts travel inside the range of a page, and from the ranges after it as one
+    value for each range.
+    """
+    start = strip_ws(F.regexp_replace("text", P.WS + "+", " "))
+    starts = pages.select("doc_id", "_range", "page_no", F.substring(start, 1, _NEXT_CHARS).alias("_start")).filter("_start <> ''")
+    inside = W.partitionBy("doc_id", "_range").orderBy("page_no").rowsBetween(1, _VISIBLE)
+    heads = starts.groupBy("doc_id", "_range").agg(F.array_sort(F.collect_list(F.struct("page_no", "_start"))).alias("_all"))
+    heads = heads.select("doc_id", "_range", F.array_join(F.transform(F.slice("_all", 1, _VISIBLE), lambda x: x["_start"]), " ").alias("_head"))
+    later = W.partitionBy("doc_id").orderBy("_range").rowsBetween(1, _VISIBLE)
+    heads = heads.select("doc_id", "_range", F.collect_list("_head").over(later).alias("_later"))
+    near = starts.withColumn("_near", F.collect_list("_start").over(inside))
+    return near.join(heads, ["doc_id", "_range"]).select(
+        "doc_id", "_range", "page_no", F.array_join(F.concat("_near", "_later"), " ").alias("_next"))
+
+
 def section_pieces(pages: DataFrame, width: int | None = None) -> DataFrame:
     """Every heading with its body, in reading order: (doc, page, piece, section_no, title, text).
 
-    A page is cut at its headings. The first characters of the next written page are in view while
-    cutting, because a title may stand there. The part of a page before its first heading goes on with
+    A page is cut at its headings. The first visible characters of the next written pages are in view while
+    cutting, because number and title may stand there. The part of a page before its first heading goes on with
     the heading carried from earlier pages.
     """
     w = {"width": width} if width else {}
     text = F.coalesce("text", F.lit(""))
-    start = F.nullif(F.substring(F.regexp_replace(text, "^" + P.WS + "+", ""), 1, _NEXT_CHARS), F.lit(""))
-    ahead = carry(
-        pages.select("doc_id", "page_no", text.alias("text"), start.alias("_start")),
-        "doc_id", "page_no", "_start", "_next", backward=True, **w,
-    )
+    rows = pages.select("doc_id", "page_no", text.alias("text")).withColumn("_range", F.floor(F.col("page_no") / (width or RANGE)))
+    ahead = rows.join(following(rows), ["doc_id", "_range", "page_no"], "left")
     joined = F.concat("text", F.lit(_MARK + "\n"), F.coalesce("_next", F.lit("")))
     cut = ahead.select(
         "doc_id", "page_no", "_range", F.split(joined, _HEADING_AHEAD, -1).alias("_cut"),

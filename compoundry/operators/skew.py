@@ -7,8 +7,6 @@ sort-merge join. ``split_hot_join`` is the explicit form for keys that are known
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,33 +15,30 @@ MAX_SPLITS = 1024
 MAX_HOT_KEYS = 10_000
 
 
-def _same(a: DataFrame, b: DataFrame, on: list[str]) -> Column:
-    return reduce(lambda x, y: x & y, [a[k].eqNullSafe(b["_hot_" + k]) for k in on])
+def _hash(on: list[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in on])
 
 
 def hot_keys(left: DataFrame, right: DataFrame | None, on: list[str], rows_per_split: int) -> DataFrame:
-    """Keys above the split size, with the number of splits of each side; at most MAX_HOT_KEYS rows.
+    """Hashes of keys above the split size, with the number of splits of each side; at most MAX_HOT_KEYS rows.
 
-    Keys beyond that limit only stay unsplit, so the limit never changes a join result.
+    Keys are counted by their hash, so keys of any length take eight bytes here; two keys of one hash are split
+    alike. Keys beyond the limit only stay unsplit, so neither changes a join result.
     """
-    counts = left.groupBy(*on).agg(F.count(F.lit(1)).alias("_l"), F.lit(0).cast("long").alias("_r"))
+    counts = left.groupBy(_hash(on).alias("_hot")).agg(F.count(F.lit(1)).alias("_l"), F.lit(0).cast("long").alias("_r"))
     if right is not None:
         counts = counts.unionByName(
-            right.groupBy(*on).agg(F.lit(0).cast("long").alias("_l"), F.count(F.lit(1)).alias("_r"))
-        ).groupBy(*on).agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
+            right.groupBy(_hash(on).alias("_hot")).agg(F.lit(0).cast("long").alias("_l"), F.count(F.lit(1)).alias("_r"))
+        ).groupBy("_hot").agg(F.sum("_l").alias("_l"), F.sum("_r").alias("_r"))
 
     def splits(n: str) -> Column:
         return F.least(F.ceil(F.col(n) / rows_per_split), F.lit(MAX_SPLITS)).cast("int")
 
     return (
         counts.filter((F.col("_l") > rows_per_split) | (F.col("_r") > rows_per_split))
-        .orderBy(F.greatest("_l", "_r").desc(), *on)  # a total order: both sides must see the same list
+        .orderBy(F.greatest("_l", "_r").desc(), "_hot")  # a total order: both sides must see the same list
         .limit(MAX_HOT_KEYS)
-        .select(
-            *[F.col(k).alias("_hot_" + k) for k in on],
-            F.greatest(splits("_l"), F.lit(1)).alias("_ls"),
-            F.greatest(splits("_r"), F.lit(1)).alias("_rs"),
-        )
+        .select("_hot", F.greatest(splits("_l"), F.lit(1)).alias("_ls"), F.greatest(splits("_r"), F.lit(1)).alias("_rs"))
     )
 
 
@@ -74,9 +69,9 @@ def split_hot_join(
     def each(n: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n), F.lit(1)) - 1))
 
-    marked_l = left.join(hot, _same(left, hot, on), "left").select(left["*"], "_ls", "_rs")
+    marked_l = left.withColumn("_hot", _hash(on)).join(hot, "_hot", "left").select(*left.columns, "_ls", "_rs")
     marked_l = marked_l.select(left.columns + ["_rs"] + [one("_ls").alias("_lsalt")])
-    marked_r = right.join(hot, _same(right, hot, on), "left").select(right["*"], "_ls", "_rs")
+    marked_r = right.withColumn("_hot", _hash(on)).join(hot, "_hot", "left").select(*right.columns, "_ls", "_rs")
     marked_r = marked_r.select(right.columns + ["_ls"] + [one("_rs").alias("_rsalt")])
     keys = on + ["_lsalt"]
     if both:

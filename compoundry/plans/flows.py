@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import patterns as P
+from ..functions.text import strip_ws
 from ..operators import compounds as comp
 from ..operators import dispatch, families, fuzzy, predicates, registry, report, seed, sheets
 from ..operators import upsert as up
@@ -50,17 +51,22 @@ def orchestrate(
     cap_topn: int = P.QUERIES_PER_ITEM,
     produce_rest: bool = False,
     minutes: int = 30,
+    alias: DataFrame | list[dict] | None = None,
+    family: DataFrame | list[dict] | None = None,
 ) -> dict[str, DataFrame]:
-    """L2: replay, seed, choose and send, register, link, assign families, report."""
+    """L2: replay, seed, choose and send, register, link, assign families, report.
+
+    ``alias`` and ``family`` are the stored pattern tables; without them the fixed rows are used.
+    """
     if replay_unlinked:
         log = dispatch.clear_log(log, items, xref)
     scope = seed.unlinked(items, xref) if unlinked_only else None
-    found = seed.build_seed(items, staging_rows, scope=scope, wide=wide_names).drop("branch_no")
+    found = seed.build_seed(items, staging_rows, alias, scope, wide_names).drop("branch_no")
     queries = durable(up.insert_only(queries, found, up.QUERY_KEYS), "queries")
     chosen = dispatch.cap_topn(dispatch.unsent_unlinked(queries, items, xref, log), cap_topn).select(*queries.columns)
 
     def as_log(df: DataFrame) -> DataFrame:
-        q = F.trim("query")
+        q = strip_ws(F.col("query"))
         rows = df.filter(q != "").select("source_item_id", q.alias("query"), F.lower("hint").alias("hint"), now.alias("produced_at"))
         return up.reduce_first(rows, up.QUERY_KEYS, F.col("produced_at"))
 
@@ -75,9 +81,9 @@ def orchestrate(
         "registry",
     )
     new_xref = durable(registry.link_registry(xref, new_registry, P.SOURCE_COMPOUND, now), "xref")
-    by_name = families.family_by_name(items, product_family)
+    by_name = families.family_by_name(items, product_family, family)
     assigned = durable(product_family.unionByName(by_name), "families")
-    by_registry = families.family_by_registry(items, new_xref, new_registry, assigned)
+    by_registry = families.family_by_registry(items, new_xref, new_registry, assigned, family)
     return {
         "item_master_query": queries,
         "messages": dispatch.dedupe_requests(sent),

@@ -29,14 +29,17 @@ def build_session(app: str = "compoundry", master: str | None = None, **conf: st
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors see: ``spark.checkpoint.dir``; where that is unset, one inside the warehouse folder,
+    which a cluster shares too. Only a local session, whose one process is driver and executor, takes a temporary one."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return os.path.dirname(current.rstrip("/"))
-    return tempfile.mkdtemp(prefix="compoundry-")
+    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        return os.path.join(tempfile.gettempdir(), f"compoundry-{spark.sparkContext.applicationId}")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/compoundry-scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -45,7 +45,7 @@ def request_stream(spark: SparkSession, source: dict[str, str], schema: str | No
         reader = reader.schema(schema)
     df = reader.load(path) if path else reader.load()
     if fmt == "kafka":
-        return df.select(F.col("key").cast("string"), F.col("value").cast("string"), "partition", "offset")
+        return df.select(F.col("key").cast("string"), F.col("value").cast("string"), "timestamp", "partition", "offset")
     return df
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +12,26 @@ from ..functions.jsons import json_text, row_json
 from ..functions.text import first_non_empty
 
 
-def read_text_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A CSV file or folder as text columns. Columns are matched by their header, absent ones are NULL."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    df = reader.option("inferSchema", False).csv(path)
-    return df.select(*[_or_null(df, c) for c in columns]) if columns else df
+def read_text_table(spark: SparkSession, path: str, columns: list[str], multi_line: bool = False) -> DataFrame:
+    """A CSV file or folder as text columns. Columns are matched by the header of each file, absent ones are NULL.
+
+    Files with the same header line are read together; only names and header lines reach the driver. Large files are
+    split between tasks unless ``multi_line`` allows line breaks inside values.
+    """
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = lines.withColumn("line", F.monotonically_increasing_id()).filter("file_block_start = 0")
+    heads = first.groupBy("file_path").agg(F.min_by("value", "line").alias("head"))
+    groups: dict[str, list[str]] = {}
+    for r in heads.orderBy("file_path").collect():
+        groups.setdefault(r["head"], []).append(r["file_path"])
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("inferSchema", False)
+    parts = [reader.csv(files) for files in groups.values()]
+    if not parts:
+        names = columns or P.RESULT_COLUMNS
+        return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in names))
+    if columns:
+        parts = [df.select(*[_or_null(df, c) for c in columns]) for df in parts]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def _or_null(df: DataFrame, column: str):

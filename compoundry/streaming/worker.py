@@ -9,6 +9,7 @@ batch follows the batch, not the table; ``latest`` or an upsert folds the log.
 from __future__ import annotations
 
 import time
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,8 +92,28 @@ def stream_metrics(routed: DataFrame, started_at: float) -> Column:
     return F.lit(round((time.time() - started_at) * 1000, 2))
 
 
-def persist_batch(batch: DataFrame, batch_id: int, index: DataFrame, out: str, order: str, now: Column | None = None) -> None:
-    """Route one micro-batch and write its results, dead letters, changes and log."""
+#: The order in which messages count as sent; an offset alone says nothing across partitions.
+ORDER = ("timestamp", "partition", "offset")
+#: A sink: it gets a frame, the name of the output and the number of the batch, and must overwrite on replay.
+Sink = Callable[[DataFrame, str, int], None]
+
+
+def ordered_by(messages: DataFrame, order: str | Sequence[str]) -> Column:
+    """The columns of ``order`` that the messages have, as one value."""
+    names = [order] if isinstance(order, str) else [c for c in order if c in messages.columns]
+    if not names:
+        raise ValueError(f"messages have none of the columns {list(order)}")
+    return F.struct(*names) if len(names) > 1 else F.col(names[0])
+
+
+def persist_batch(
+    batch: DataFrame, batch_id: int, index: DataFrame, out: str, order: str | Sequence[str] = ORDER,
+    now: Column | None = None, sink: Sink | None = None,
+) -> None:
+    """Route one micro-batch and write its results, dead letters, changes and log.
+
+    ``sink`` takes results and dead letters; without one they are Parquet folders like the tables.
+    """
     spark = batch.sparkSession
     started = time.time()
     stamp = now if now is not None else F.current_timestamp()
@@ -104,19 +125,20 @@ def persist_batch(batch: DataFrame, batch_id: int, index: DataFrame, out: str, o
     write(routed, "routed")
     routed = spark.read.schema(routed.schema).parquet(f"{out}/routed/batch={batch_id}")
     accepted = routed.filter(F.col("error").isNull())
-    by = F.col(order)
+    by = ordered_by(accepted, order)
     write(compounds_latest(accepted, by), "compounds")
     write(xref_from_stream(accepted, by), "xref")
     looked_up = F.col("error").isNull() | (F.col("stage") == "scrape")
     write(lookup_log(routed.filter(looked_up), stamp), "lookup_log")
-    write(result_messages(accepted, stamp, stream_metrics(routed, started)), "results")
-    write(dead_letters(routed), "dead_letters")
+    send = (lambda df, name: sink(df, name, batch_id)) if sink else write
+    send(result_messages(accepted, stamp, stream_metrics(routed, started)), "results")
+    send(dead_letters(routed), "dead_letters")
     write(dead_letter_rows(routed, stamp), "dead_letter_rows")
 
 
 def run_worker(
-    messages: DataFrame, index: DataFrame, out: str, checkpoint: str, order: str = "offset", now: Column | None = None,
-    continuous: str | None = None,
+    messages: DataFrame, index: DataFrame, out: str, checkpoint: str, order: str | Sequence[str] = ORDER,
+    now: Column | None = None, continuous: str | None = None, sink: Sink | None = None,
 ) -> StreamingQuery:
     """L3: start the worker. Without ``continuous`` (a trigger interval) it works off what is there and ends.
 
@@ -124,7 +146,7 @@ def run_worker(
     (``maxOffsetsPerTrigger``, ``maxFilesPerTrigger``).
     """
     writer = messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
-        lambda df, batch_id: persist_batch(df, batch_id, index, out, order, now)
+        lambda df, batch_id: persist_batch(df, batch_id, index, out, order, now, sink)
     )
     trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
     return writer.trigger(**trigger).start()

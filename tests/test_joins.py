@@ -50,12 +50,15 @@ def test_pattern_blocks_equal_literals(spark):
     pats = spark.createDataFrame([(f"^{w}|{w}$", w) for w in words], "pattern string, tag string")
     df = spark.createDataFrame([(i, f"w{i % 9} w{i % 4}") for i in range(60)] + [(99, None)], "id int, text string")
     literal = matching.match_patterns(df, "text", pats, ["tag"])
-    old, matching.MAX_LITERAL_PATTERNS = matching.MAX_LITERAL_PATTERNS, 3
+    old, matching.BLOCK = matching.BLOCK, 3
     try:
         blocks = matching.match_patterns(df, "text", pats, ["tag"])
     finally:
-        matching.MAX_LITERAL_PATTERNS = old
+        matching.BLOCK = old
     assert rows(literal) == rows(blocks) and literal.count() > 0
+    assert matching.match_patterns(df, "text", pats.limit(0), ["tag"]).count() == 0
+    long = pats.union(spark.createDataFrame([(f"^never{i}$", "x") for i in range(450)], "pattern string, tag string"))
+    assert rows(matching.match_patterns(df, "text", long, ["tag"])) == rows(literal)
 
 
 @pytest.mark.parametrize("backward", [False, True])

@@ -102,6 +102,19 @@ def test_sections_equal_whole_text_split(spark):
             assert got == sections(pages)
 
 
+def test_headings_over_several_pages(spark):
+    parts = ["SECTION", "3", "Title x" + "y" * 90, "", "  ", "\n" * 70, "SECTION 4", ":", "-", "9", "text", "SEC.", "1", "2", "SECTION 5\nBody", "SECTION"]
+    rnd = random.Random(8)
+    for _ in range(6):
+        pages = [(d, n, rnd.choice(parts)) for d in range(25) for n in range(1, 14)]
+        pages += [(90, 1, "SECTION"), (90, 2, "3"), (90, 3, "Title x"), (91, 1, "SECTION"), (91, 2, "3" + "\n" * 70 + "Title x")]
+        df = spark.createDataFrame(pages, "doc_id long, page_no int, text string")
+        for width in (3, 1024):
+            got = {(r.doc_id, r.section_no): r.text for r in sheets.split_sections(df, width).collect()}
+            assert got == {k: v[1] for k, v in sections(pages).items()}
+            assert (90, 3) in got and (91, 3) in got
+
+
 def test_lines_follow_all_line_breaks(spark):
     text = "a\r\nb\x0bc\x0cd\re f\x85g\n\nh\n"
     df = spark.createDataFrame([(1, 1, text), (1, 2, ""), (1, 3, None), (2, 1, "x")], "doc_id long, page_no int, text string")

@@ -1,8 +1,8 @@
 from pyspark.sql import functions as F
 
 from compoundry import patterns as P
-from compoundry import schemas
-from compoundry.operators import quality, seed
+from compoundry import schemas, session
+from compoundry.operators import dispatch, quality, seed
 from compoundry.plans import flows
 from compoundry.sources import documents, staging
 
@@ -33,17 +33,55 @@ def test_stage_flow(spark, tmp_path):
     assert (line.qty, line.revenue, line.tx_date) == (5.0, None, None)
 
 
+def test_files_are_read_by_their_own_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ItemNo,ItemName\nS1,Acetone\n")
+    (tmp_path / "b.csv").write_text("ItemName,ItemNo\nEthanol,S2\n")
+    (tmp_path / "c.csv").write_text("ItemNo,Brand\nS3,x\n")
+    df = staging.read_text_table(spark, str(tmp_path), ["ItemNo", "ItemName", "Brand"])
+    assert sorted(map(tuple, df.collect())) == [("S1", "Acetone", None), ("S2", "Ethanol", None), ("S3", None, "x")]
+    assert set(staging.read_text_table(spark, str(tmp_path), []).columns) == {"ItemNo", "ItemName", "Brand"}
+
+
+def test_first_request_of_a_key_stays(spark):
+    sent = spark.createDataFrame([("k", "b", 1), ("k", "a", 2), ("j", "c", 3)], "key string, value string, position int")
+    assert sorted(r.value for r in dispatch.dedupe_requests(sent, "position").collect()) == ["b", "c"]
+    assert sorted(r.value for r in dispatch.dedupe_requests(sent.drop("position")).collect()) == ["a", "c"]
+
+
+def test_shared_folder(spark):
+    class Context:
+        applicationId = "app-1"
+
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        def __init__(self, master, **conf):
+            self.sparkContext, self.values, self.conf = Context(master), conf, self
+
+        def get(self, key, default=None):
+            return self.values.get(key, default)
+
+    named = {"spark.sql.warehouse.dir": "hdfs:/warehouse/"}
+    assert session.shared_dir(Session("yarn", **named, **{"spark.checkpoint.dir": "hdfs:/shared"})) == "hdfs:/shared"
+    assert session.shared_dir(Session("yarn", **named)) == "hdfs:/warehouse/compoundry-scratch"
+    assert session.shared_dir(Session("local-cluster[1,1,900]", **named)) == "hdfs:/warehouse/compoundry-scratch"
+    assert session.shared_dir(Session("local[2]", **named)).endswith("compoundry-app-1")
+
+
 def test_seed_with_a_long_alias_table(spark, monkeypatch):
     items = spark.createDataFrame([(1, "s", "Soda Ash", None, None), (2, "s", "x", "67-64-1", None)], "source_item_id long, sku string, name string, cas string, raw string")
     alias = spark.createDataFrame([r[:3] for r in P.ALIASES], "pattern string, replacement string, hint string")
     want = {tuple(r) for r in seed.build_seed(items).collect()}
     assert {tuple(r) for r in seed.build_seed(items, alias=alias).collect()} == want
-    monkeypatch.setattr(seed, "MAX_LITERAL_PATTERNS", 3)
-    from compoundry.operators import matching
-
-    monkeypatch.setattr(matching, "MAX_LITERAL_PATTERNS", 3)
-    got = {(r.source_item_id, r.query, r.hint, r.branch_no) for r in seed.build_seed(items, alias=alias).collect()}
-    assert got == {(w[0], w[1], w[2], w[4]) for w in want}
+    long = [(f"never {i}", "x", "name", -i) for i in range(450)] + [(*r[:3], i) for i, r in enumerate(P.ALIASES)]
+    long = spark.createDataFrame(long, "pattern string, replacement string, hint string, position int")
+    assert {tuple(r) for r in seed.build_seed(items, alias=long).collect()} == want
+    none = {tuple(r) for r in seed.build_seed(items, alias=alias.limit(0)).collect()}
+    assert none == {w for w in want if w[4] != seed.BRANCHES.index("alias") + 1} and none < want
 
 
 def test_integrity_checks_use_three_valued_logic(spark):
