@@ -54,6 +54,18 @@ def map_batches(
     return df.mapInArrow(run, f"{kept}, {add}" if kept else add)
 
 
+_holder: tuple[str, Callable[[], None]] | None = None
+
+
+def claim(owner: str, clear: Callable[[], None]) -> None:
+    """Python workers serve one operator after another: what the last one remembers goes when the next one starts."""
+    global _holder
+    if _holder is not None and _holder[0] != owner:
+        _holder[1]()
+        pa.default_memory_pool().release_unused()
+    _holder = (owner, clear)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, LOWER)

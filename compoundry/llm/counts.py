@@ -19,10 +19,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_batches, strings
+from .common import claim, map_batches, strings
 
 #: Pieces of text and words whose counts a Python worker remembers; at that number it forgets all of them.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 600_000
 #: Tokens above which a document counts as over the limit.
 LIMIT = 2048
 
@@ -119,6 +119,10 @@ class Counter:
     def text_of(self, word: str) -> str:
         return bytes(map(self.value.__getitem__, word)).decode()
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.words.clear()
+
     def part(self, part: str) -> int:
         """Tokens of a text without blanks and line ends; special strings count one each."""
         if self.special and self.special_chars in part:
@@ -128,9 +132,9 @@ class Counter:
 
     def count(self, text: str) -> int:
         """Tokens of a text. Words never reach over blanks or line ends, so the parts between are counted once each."""
+        claim("counts", self.forget)
         if len(self.known) > MOST_WORDS or len(self.words) > MOST_WORDS:
-            self.known.clear()
-            self.words.clear()
+            self.forget()
         known, total = self.known, 0
         for p in text.replace("\n", " ").split(" "):
             n = known.get(p)

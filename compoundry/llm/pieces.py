@@ -16,13 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_batches, strings
+from .common import claim, map_batches, strings
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 NONE = np.iinfo(np.int32).max
 #: Words whose ids a Python worker remembers; at that number it forgets all of them.
-MOST_WORDS = 600_000
+MOST_WORDS = 400_000
 
 
 class PieceModel:
@@ -207,6 +207,7 @@ class PieceModel:
 
     def encode(self, texts: list[str], end: bool = False) -> list[np.ndarray]:
         """The ids of each text."""
+        claim("pieces", self.known.clear)
         if len(self.known) > MOST_WORDS:
             self.known.clear()
         cut = [self.words(t) for t in texts]

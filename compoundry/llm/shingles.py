@@ -5,8 +5,10 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from .common import claim
+
 #: Words whose hashes a Python worker remembers; at that number it forgets all of them.
-MOST_WORDS = 1_000_000
+MOST_WORDS = 500_000
 #: Shingles hashed under all permutations at a time.
 CHUNK = 4096
 U = np.uint64
@@ -35,6 +37,7 @@ def constants(seed: int, n: int) -> np.ndarray:
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
+    claim("shingles", _words.clear)
     if len(_words) > MOST_WORDS:
         _words.clear()
     return np.fromiter(map(_words.__getitem__, words), U, len(words))
