@@ -1,11 +1,13 @@
 """Best fuzzy match of documents to items: J12, W02.
 
 The similarity is the Jaccard index of trigram sets, so a match above a threshold can be found through
-the index of the first trigrams of each set in a fixed global order (prefix filter): two sets that are
-similar enough must share one of them. Rare trigrams come first, which keeps the index lists short.
+the first trigrams of each set in a fixed global order (prefix filter). Two sets that must share at
+least two trigrams share two within prefixes that are longer by one; pairs of trigrams are far rarer than
+single ones, so the index is asked for pairs. Only where both sets are so short that one shared trigram
+is enough, single trigrams are asked for. Rare trigrams come first, which keeps the index lists short.
 
-Only the best match of a document is wanted, so thresholds descend: equal sets first, then a high
-threshold with short prefixes, then the wanted one. A document that finds a match leaves; what it found
+Only the best match of a document is wanted, so thresholds descend: equal sets first, then high
+thresholds with short prefixes, then the wanted one. A document that finds a match leaves; what it found
 is its best, because every pair above that threshold was seen. Nothing is cut off at any step.
 """
 
@@ -19,66 +21,61 @@ from ..functions.trigram import packed_trigrams
 from ..session import durable
 from .skew import split_hot_join
 
+#: Trigrams that are told apart by how frequent they are; the others count as rare. Only speed hangs on it.
 RANKED_GRAMS = 4096
-ROWS_PER_CELL = 20_000
-MAX_CELLS = 256
 _EPS = 1e-6
 
 
 def _ranked(sets: DataFrame, common: DataFrame) -> DataFrame:
-    """Each set with its trigrams in global order: rare first, then by value.
+    """Each set (``id``, ``item_id``, ``grams``) with its trigrams in global order: rare first, then by value.
 
     ``common`` lists the most frequent trigrams (bounded, so it may be broadcast); the others tie at 0.
     Any fixed order keeps the filter exact.
     """
-    grams = sets.select("*", F.explode("grams").alias("gram")).join(F.broadcast(common), "gram", "left")
-    order = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)), "gram", "ls", "rs")))
-    return grams.groupBy("grams").agg(F.min("item_id").alias("item_id"), order.alias("ordered"))
+    grams = sets.select("id", "item_id", F.explode("grams").alias("gram")).join(F.broadcast(common), "gram", "left")
+    order = F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)), "gram")))
+    ranked = grams.groupBy("id").agg(F.min("item_id").alias("item_id"), order.alias("o"))
+    return ranked.select("id", "item_id", F.transform("o", lambda x: x["gram"]).alias("grams"))
 
 
-def _prefix(sets: DataFrame, threshold: float, side: str) -> DataFrame:
-    """Index rows: (trigram, cell) -> set. Frequent trigrams are split into a grid of cells."""
+def index_rows(sets: DataFrame, threshold: float, side: str) -> DataFrame:
+    """(``key``, id, size) for every pair of trigrams of a set's prefix, and for the trigrams of very short sets."""
     n = F.size("grams")
-    length = (n - F.ceil(threshold * n - _EPS) + 1).cast("int")
-    rows = sets.select(
-        "item_id", "grams", n.alias("n"), F.posexplode(F.slice("ordered", F.lit(1), length)).alias("at", "g")
-    )
-    own, other = ("ls", "rs") if side == "l" else ("rs", "ls")
-    mine = F.pmod(F.xxhash64("grams"), F.coalesce(F.col("g." + own), F.lit(1)).cast("long")).cast("int")
-    theirs = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("g." + other), F.lit(1)) - 1))
-    cells = rows.select(
-        F.col("g.gram").alias("gram"), "item_id", "grams", "n", "at", mine.alias("own_cell"), theirs.alias("other_cell")
-    )
-    l_cell, r_cell = ("own_cell", "other_cell") if side == "l" else ("other_cell", "own_cell")
-    return cells.select(
-        "gram", F.col(l_cell).alias("lc"), F.col(r_cell).alias("rc"),
-        F.col("item_id").alias(side + "_item"), F.col("grams").alias(side + "_grams"),
-        F.col("n").alias(side + "_n"), F.col("at").alias(side + "_at"),
-    )
+    must = F.ceil(threshold * n - _EPS).cast("int")  # what any partner of this set shares with it, at least
+    prefix = F.slice("grams", F.lit(1), F.least(n, n - must + 2))
+    rows = sets.select("id", n.alias("n"), "grams", (must <= 1).alias("short"), prefix.alias("prefix"))
+    pairs = F.flatten(F.transform("prefix", lambda g, i: F.transform(
+        F.slice("prefix", i + 2, F.size("prefix")), lambda h: F.xxhash64(F.lit(2), g, h))))
+    single = F.when(F.col("short"), F.transform("grams", lambda g: F.xxhash64(F.lit(1), g))).otherwise(F.array().cast("array<bigint>"))
+    return rows.select(F.explode(F.concat(pairs, single)).alias("key"), F.col("id").alias(side + "_id"), F.col("n").alias(side + "_n"))
 
 
-def _best_above(texts: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
-    """Per text the best name at or above the threshold: (grams, best)."""
+def candidates(texts: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs of ids that may reach the threshold."""
     t = threshold - _EPS
-    pairs = _prefix(texts, t, "l").join(_prefix(names, t, "r"), ["gram", "lc", "rc"])
-    ln, rn = F.col("l_n"), F.col("r_n")
-    near = pairs.filter(
-        (rn >= t * ln) & (rn * t <= ln)
-        # all that two sets share lies at or after their first common trigram
-        & (F.least(ln - F.col("l_at"), rn - F.col("r_at")) >= t / (1 + t) * (ln + rn) - _EPS)
-    )
-    shared = F.size(F.array_intersect("l_grams", "r_grams"))
-    scored = near.select("l_grams", "r_item", shared.alias("shared"), (ln + rn).alias("total")).withColumn(
-        "sim", F.col("shared") / (F.col("total") - F.col("shared"))
-    )
+    pairs = index_rows(texts, t, "l").join(index_rows(names, t, "r"), "key")
+    near = pairs.filter((F.col("r_n") >= t * F.col("l_n")) & (F.col("r_n") * t <= F.col("l_n")))
+    return near.select("l_id", "r_id").distinct()
+
+
+def _best_above(texts: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
+    """Per text the best name at or above the threshold: (text_id, best)."""
+    left = texts.select(F.col("id").alias("l_id"), F.col("grams").alias("_l"))
+    right = names.select(F.col("id").alias("r_id"), "item_id", F.col("grams").alias("_r"))
+    shared = F.size(F.array_intersect("_l", "_r"))
+    scored = candidates(texts, names, threshold).join(left, "l_id").join(right, "r_id").select(
+        "l_id", "item_id", shared.alias("shared"), (F.size("_l") + F.size("_r")).alias("total")
+    ).withColumn("sim", F.col("shared") / (F.col("total") - F.col("shared")))
     return (
         scored.filter(F.col("sim").cast("float").cast("double") >= threshold)
-        .groupBy(F.col("l_grams").alias("grams"))
-        .agg(F.max(F.struct("sim", (-F.col("r_item")).alias("neg"))).alias("best"))
+        .groupBy(F.col("l_id").alias("text_id"))
+        .agg(F.max(F.struct("sim", (-F.col("item_id")).alias("neg"))).alias("best"))
     )
 
 
-def fuzzy_best(docs: DataFrame, items: DataFrame, threshold: float = P.FUZZY_THRESHOLD, steps: tuple[float, ...] = (0.7,)) -> DataFrame:
+def fuzzy_best(
+    docs: DataFrame, items: DataFrame, threshold: float = P.FUZZY_THRESHOLD, steps: tuple[float, ...] = (0.8, 0.6)
+) -> DataFrame:
     """Per document without product, the most similar item by title or file name: (doc_id, source_item_id, sim).
 
     Similarity is compared in single precision, as it is stored. Ties go to the smallest item id.
@@ -89,42 +86,36 @@ def fuzzy_best(docs: DataFrame, items: DataFrame, threshold: float = P.FUZZY_THR
         .groupBy("grams")
         .agg(F.min("item_id").alias("item_id"))
     )
-    todo = docs.filter(F.col("product_id").isNull()).select(
-        "doc_id", F.explode(F.array_distinct(F.array(packed_trigrams(F.col("title")), packed_trigrams(F.col("filename"))))).alias("grams")
-    ).filter(F.size("grams") > 0)
-    names = durable(names, "fuzzy-names")
-    todo = durable(todo, "fuzzy-texts")
-    texts = todo.select("grams").distinct().withColumn("item_id", F.lit(None).cast("long"))
-
-    def per_side(df: DataFrame, side: int) -> DataFrame:
-        return df.select(F.explode("grams").alias("gram")).groupBy("gram").agg(
-            F.count(F.lit(1)).alias("l" if side == 0 else "r"), F.lit(0).cast("long").alias("r" if side == 0 else "l")
-        )
-
-    def cells(c: str):
-        return F.least(F.greatest(F.ceil(F.col(c) / ROWS_PER_CELL), F.lit(1)), F.lit(MAX_CELLS)).cast("int")
-
-    common = durable(
-        per_side(texts, 0).unionByName(per_side(names, 1)).groupBy("gram")
-        .agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-        .orderBy((F.col("l") + F.col("r")).desc(), "gram").limit(RANKED_GRAMS)
-        .select("gram", (F.col("l") + F.col("r")).alias("n"), cells("l").alias("ls"), cells("r").alias("rs")),
-        "fuzzy-common",
+    names = durable(names.withColumn("id", F.monotonically_increasing_id()), "fuzzy-names")
+    asked = durable(
+        docs.filter(F.col("product_id").isNull()).select(
+            "doc_id", F.explode(F.array_distinct(F.array(packed_trigrams(F.col("title")), packed_trigrams(F.col("filename"))))).alias("grams")
+        ).filter(F.size("grams") > 0),
+        "fuzzy-asked",
+    )
+    # ids are given to what the shared folder holds, so every reader sees the same ones
+    texts = durable(asked.select("grams").distinct().withColumn("id", F.monotonically_increasing_id()), "fuzzy-texts")
+    todo = durable(split_hot_join(asked, texts, ["grams"], unique_right=True).select("doc_id", F.col("id").alias("text_id")), "fuzzy-todo")
+    both = texts.select("grams").unionByName(names.select("grams"))
+    common = (
+        both.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+        .orderBy(F.col("n").desc(), "gram").limit(RANKED_GRAMS)
     )
+    common = durable(common, "fuzzy-common")
     ranked_names = durable(_ranked(names, common), "fuzzy-index")
+    ranked = durable(_ranked(texts.withColumn("item_id", F.lit(None).cast("long")), common), "fuzzy-index")
 
     def to_docs(best: DataFrame) -> DataFrame:
-        matched = split_hot_join(todo, best, ["grams"], unique_right=True)
-        return matched.groupBy("doc_id").agg(F.max("best").alias("best"))
+        return todo.join(best, "text_id").groupBy("doc_id").agg(F.max("best").alias("best"))
 
-    equal = texts.select("grams").join(names, "grams").select(
-        "grams", F.struct(F.lit(1.0).alias("sim"), (-F.col("item_id")).alias("neg")).alias("best")
+    equal = texts.join(names.select("grams", "item_id"), "grams").select(
+        F.col("id").alias("text_id"), F.struct(F.lit(1.0).alias("sim"), (-F.col("item_id")).alias("neg")).alias("best")
     )
     found = durable(to_docs(equal), "fuzzy-found")
     for t in [s for s in steps if s > threshold] + [threshold]:
-        open_texts = todo.join(found.select("doc_id"), "doc_id", "left_anti").select("grams").distinct()
-        ranked = _ranked(open_texts.withColumn("item_id", F.lit(None).cast("long")), common)
-        more = to_docs(_best_above(ranked, ranked_names, t)).join(found.select("doc_id"), "doc_id", "left_anti")
+        open_texts = todo.join(found.select("doc_id"), "doc_id", "left_anti").select(F.col("text_id").alias("id")).distinct()
+        left = ranked.join(open_texts, "id", "left_semi")
+        more = to_docs(_best_above(left, ranked_names, t)).join(found.select("doc_id"), "doc_id", "left_anti")
         found = durable(found.unionByName(more), "fuzzy-found")
     return found.select("doc_id", (-F.col("best.neg")).alias("source_item_id"), F.col("best.sim").alias("sim"))
 

@@ -65,12 +65,35 @@ def test_equals_all_pairs(spark):
     assert run(spark, docs, items) == rounded(brute(docs, items))
 
 
-def test_equals_all_pairs_with_many_cells(spark, monkeypatch):
-    monkeypatch.setattr(fuzzy, "ROWS_PER_CELL", 3)
-    docs, items = data(12)
+def test_equals_all_pairs_of_short_names(spark):
+    rnd = random.Random(4)
+    short = ["a", "b", "ab", "a b", "abc", "x1", "1", "aa a"]
+    items = [(i + 1, rnd.choice(short)) for i in range(30)]
+    docs = [(d, None, rnd.choice(short), rnd.choice(short)) for d in range(40)]
     assert run(spark, docs, items) == rounded(brute(docs, items))
 
 
+def test_candidates_grow_with_the_names(spark):
+    """Twice as many distinct names of the same make give at most 2.5 times as many candidates for the same texts each."""
+    rnd = random.Random(6)
+    syllables = [a + b for a in "bcdfglmnprst" for b in "aeiou"]
+    makes = ["".join(rnd.choice(syllables) for _ in range(3)) for _ in range(40)]
+
+    def sets(n, seed):
+        r = random.Random(seed)
+        rows = []
+        for i in range(n):
+            name = f"{''.join(r.choice(syllables) for _ in range(4))} {r.choice(makes)} {r.randint(1000, 9999)}"
+            rows.append((i, i, sorted(hash_of(g) for g in grams(name))))
+        return spark.createDataFrame(rows, "id long, item_id long, grams array<bigint>")
+
+    def hash_of(g):
+        return sum(ord(c) << (21 * k) for k, c in enumerate(g))
+
+    few = fuzzy.candidates(sets(150, 1), sets(600, 2), 0.45).count()
+    more = fuzzy.candidates(sets(150, 1), sets(1200, 3), 0.45).count()
+    assert more <= 2.5 * max(few, 1) and more < 0.2 * 150 * 1200
+
 def test_threshold_is_in_single_precision(spark):
     # nine of twenty trigrams shared: 0.45 as a single is below 0.45
     a, b = "abcdefghijklm", "abcdefgh opqr"
