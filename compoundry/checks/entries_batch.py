@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 
 from .. import patterns as P
 from .. import schemas
-from ..functions.cas import is_cas_shaped
 from ..operators import compounds as comp
 from ..operators import dispatch, families, fuzzy, quality, registry, report, seed
 from ..operators import upsert as up
 from ..plans import flows
-from ..sources import messages, staging
+from ..sources import staging
 from .catalog import entry, now, num, stamp
 from .entries_scalar import CAS, CHEM, PRIORITY, SHAPE, _written_csv, grams_sql, q, sim_sql, title_sql
 from .fixtures import NOW, ORACLES
@@ -622,6 +621,3 @@ def _(t):
 )
 def _(t):
     return loaded(t)["counts_after"]
-
-
-__all__ = ["is_cas_shaped", "messages"]

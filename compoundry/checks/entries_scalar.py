@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 from .. import patterns as P
 from ..functions import cas, jsons, sheets, text, trigram
 from ..operators import predicates, seed
-from ..operators.compounds import clean_results
-from ..session import durable, scratch_path
+from ..session import scratch_path
 from ..sources import documents, messages, staging
 from ..streaming.lookup import enrich_lookup, lookup_index
 from ..streaming.worker import route
 from .catalog import entry, now
-from .fixtures import NOW, ORACLES
+from .fixtures import ORACLES
 
 CAS = "[0-9]{2,7}-[0-9]{2}-[0-9]"
 SHAPE = f"^{CAS}$"
@@ -586,6 +585,3 @@ def _(t):
 def _(t):
     looked = routed(t).filter(F.col("error").isNull() | (F.col("stage") == "scrape"))
     return messages.lookup_log(looked, now()).select("job_type", "query", "status", "message", "attempt")
-
-
-__all__ = ["NOW", "clean_results", "durable"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -80,7 +79,3 @@ def seed_query(cas: Column, name: Column) -> Column:
 
 def seed_hint(cas: Column) -> Column:
     return F.when(is_cas_shaped(cas), "cas").otherwise("name")
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

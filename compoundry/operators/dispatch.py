@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import hint_normalize, priority_class, strip_ws
-from .seed import linked_ids, unlinked
+from .seed import unlinked
 from .skew import split_hot_join
 from .upsert import reduce_first
 
@@ -80,9 +80,3 @@ def dedupe_requests(messages: DataFrame, order: str = "value") -> DataFrame:
     if messages.isStreaming:
         return messages.dropDuplicatesWithinWatermark(["key"])
     return reduce_first(messages, ["key"], F.struct(order, "value") if order != "value" else F.col("value")).select(*messages.columns)
-
-
-__all__ = [
-    "unsent", "unsent_unlinked", "clear_log", "cap_topn", "keyset_page", "ordered_limit", "pick_mode",
-    "dedupe_requests", "linked_ids",
-]

@@ -19,7 +19,7 @@ from .. import patterns as P
 from ..operators.predicates import quality_error, request_error
 from ..operators.upsert import COMPOUND_KEYS, XREF_KEYS, reduce_latest
 from ..sources.messages import dead_letter_rows, dead_letters, decode_requests, lookup_log, result_messages
-from .lookup import FACTS, enrich_lookup
+from .lookup import enrich_lookup
 
 
 def validate_route(decoded: DataFrame) -> DataFrame:
@@ -172,9 +172,3 @@ def activity_stream(events: DataFrame, kind: str, ts: str, window: str = "30 min
         .agg(F.count(F.lit(1)).alias("n"))
         .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), kind, "n")
     )
-
-
-__all__ = [
-    "FACTS", "activity_stream", "compounds_latest", "enrich_route", "gate_route", "latest", "persist_batch",
-    "read_log", "route", "run_worker", "stream_metrics", "validate_route", "xref_from_stream",
-]
