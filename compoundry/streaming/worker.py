@@ -157,13 +157,45 @@ def read_log(spark: SparkSession, out: str, table: str) -> DataFrame:
     return spark.read.option("basePath", f"{out}/{table}").parquet(f"{out}/{table}")
 
 
+def _folders(spark: SparkSession, path: str, prefix: str) -> dict[int, object]:
+    """The numbered folders (``prefix=number``) of a path, by number; none where the path doesn't exist."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return {}
+    found = [f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith(prefix + "=")]
+    return {int(f.getName().split("=")[1]): f for f in found}
+
+
 def latest(spark: SparkSession, out: str, table: str, keys: list[str], order: str | None = None) -> DataFrame:
-    """Fold a change log: the row of the last batch (then ``order``) per key."""
-    log = read_log(spark, out, table)
+    """A change log as a table: per key the row of the last batch (then ``order``). Batches that ``fold`` has taken in
+    are read as its one state."""
+    states = _folders(spark, f"{out}/{table}_state", "batch")
+    log = read_log(spark, out, table) if _folders(spark, f"{out}/{table}", "batch") else None
+    if states:
+        newest = max(states)
+        state = spark.read.parquet(f"{out}/{table}_state/batch={newest}").withColumn("batch", F.lit(newest))
+        log = state if log is None else log.filter(F.col("batch") > newest).unionByName(state)
     by = F.struct("batch", order) if order else F.col("batch")
     return reduce_latest(log, keys, by).drop("batch")
 
 
+def fold(spark: SparkSession, out: str, table: str, keys: list[str], order: str | None = None) -> None:
+    """Write the table of a change log as one state, and drop the batches and states it replaces.
+
+    To be run between batches. The state is complete before anything is dropped, so a run that is cut off can simply be
+    repeated.
+    """
+    batches = _folders(spark, f"{out}/{table}", "batch")
+    if not batches:
+        return
+    newest = max(batches)
+    latest(spark, out, table, keys, order).write.mode("overwrite").parquet(f"{out}/{table}_state/batch={newest}")
+    old = [f for f in batches.values()] + [f for n, f in _folders(spark, f"{out}/{table}_state", "batch").items() if n < newest]
+    for folder in old:
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def activity_stream(events: DataFrame, kind: str, ts: str, window: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Counts per kind and event-time window; rows later than ``late`` are left to the watermark."""
     return (

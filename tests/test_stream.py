@@ -85,3 +85,31 @@ def test_dedupe_on_a_stream(spark, tmp_path):
     q = dedupe_requests(s).writeStream.format("parquet").option("checkpointLocation", out + "-cp").trigger(availableNow=True).start(out)
     q.awaitTermination()
     assert sorted(r.key for r in spark.read.parquet(out).collect()) == ["a", "b"]
+
+
+def test_fold_keeps_what_latest_shows(spark, tmp_path):
+    out = str(tmp_path)
+
+    def batch(n, rows):
+        spark.createDataFrame(rows, "k string, v int").coalesce(1).write.parquet(f"{out}/t/batch={n}")
+
+    def now():
+        return sorted(map(tuple, worker.latest(spark, out, "t", ["k"]).select("k", "v").collect()))
+
+    worker.fold(spark, out, "t", ["k"])
+    batch(0, [("a", 1), ("b", 1)])
+    batch(1, [("b", 2), ("c", 2)])
+    before = now()
+    worker.fold(spark, out, "t", ["k"])
+    assert now() == before == [("a", 1), ("b", 2), ("c", 2)]
+    batch(2, [("a", 3)])
+    assert now() == [("a", 3), ("b", 2), ("c", 2)]
+    worker.fold(spark, out, "t", ["k"])
+    assert now() == [("a", 3), ("b", 2), ("c", 2)]
+    assert [p.name for p in (tmp_path / "t_state").iterdir()] == ["batch=2"]
+
+
+def test_worker_order_and_sink(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2, 3)], "offset long, partition int, timestamp long")
+    assert df.select(worker.ordered_by(df, worker.ORDER).alias("o")).first().o == (3, 2, 1)
+    assert df.select(worker.ordered_by(df, "offset").alias("o")).first().o == 1
