@@ -572,11 +572,23 @@ def orchestrated(t):
 
 @entry(
     "L2_orchestrate_messages",
-    "select distinct 'pubchem|'||lower(hint)||'|'||cast(source_item_id as varchar)||'|'||lower(trim(query)) key, source_item_id from o_capped where trim(query)<>''",
+    "select 'pubchem|'||lower(hint)||'|'||cast(source_item_id as varchar)||'|'||lower(trim(query)) key, source_item_id, min(trim(query)) query from o_capped where trim(query)<>'' group by 1, 2",
 )
 def _(t):
     m = orchestrated(t)["messages"]
-    return m.select("key", F.get_json_object("value", "$.source_item_id").cast("bigint").alias("source_item_id"))
+    return m.select(
+        "key", F.get_json_object("value", "$.source_item_id").cast("bigint").alias("source_item_id"),
+        F.get_json_object("value", "$.query").alias("query"),
+    )
+
+
+@entry(
+    "L2_orchestrate_log",
+    "select source_item_id, query, hint from fx_log union all (select source_item_id, trim(query), lower(hint) from o_capped "
+    "where trim(query)<>'' except select source_item_id, query, hint from fx_log)",
+)
+def _(t):
+    return orchestrated(t)["produced_query_log"].select("source_item_id", "query", "hint")
 
 
 ORACLES["o_l2_links"] = """
@@ -590,6 +602,11 @@ join {FAMILY_SQL} on regexp_matches(coalesce(lower(r.iupac_name),lower(r.canonic
 """
 
 
+@entry("L2_orchestrate_links", "select product_id, source, external_id, chem_id from o_l2_links")
+def _(t):
+    return orchestrated(t)["product_chem_xref"].select("product_id", "source", "external_id", "chem_id")
+
+
 @entry("L2_orchestrate_families", "select product_id, family_id::int family_id from o_l2_fam")
 def _(t):
     return orchestrated(t)["product_family"].select("product_id", "family_id")
