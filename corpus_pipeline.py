@@ -13,6 +13,10 @@ from compoundry.llm import minmax, packing, quality, queries, secrets
 from compoundry.llm.common import documents, durable
 
 
+#: Hundredths of common shingles (of five words) from which documents are near copies here; op6 has a figure of its own.
+NEAR = 80
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules or the cascade reject go; the others stay as they are."""
     return quality.kept_rows(quality.judge(docs))
@@ -21,9 +25,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the least id stays; whole rows that repeat stay once.
 
-    Documents without words are copies of nothing and all stay.
+    Near copies have a Jaccard similarity of NEAR hundredths or more (op6: ``minmax.PERCENT``). Documents without words are copies of nothing and all stay.
     """
-    gone = minmax.linked(docs).filter("not kept").select("doc_id", "text_hash").distinct()
+    gone = minmax.linked(docs, percent=NEAR).filter("not kept").select("doc_id", "text_hash").distinct()
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
     left = rows.join(gone, rows["_id"].eqNullSafe(gone["doc_id"]) & (rows["_hash"] == gone["text_hash"]), "left_anti")
     wordless = ~F.coalesce(F.col("_row.text"), F.lit("")).rlike(quality.WORD)

@@ -6,7 +6,7 @@ import re
 
 import duckdb
 import pytest
-from test_llm_operators import base_spans, check_packing, near_classes, quality_of
+from test_llm_operators import base_spans, check_packing, near_classes, prose, quality_of
 from pyspark.sql import functions as F
 
 import __spark_entry__
@@ -90,6 +90,18 @@ def test_pipeline_equals_a_plain_reading(spark):
     check_packing(four.collect(), [(d, r.text) for d, r in masked.items()], 2048)
 
 
+def test_pipeline_drops_near_copies_from_80_hundredths(spark):
+    docs = []
+    for k in range(30):
+        words = prose(120, 900 + k).split()
+        changed = range(9, 9 + 20 * (k % 5 + 1), 20)  # each word changed leaves about 8 hundredths fewer in common
+        docs += [(k, " ".join(words)), (100 + k, " ".join(f"edit{i}" if i in changed else w for i, w in enumerate(words)))]
+    kept = [sorted(d for d, _, _, keep in near_classes(docs, percent) if keep) for percent in (80, 85)]
+    assert len(kept[0]) < len(kept[1]) < len(docs)
+    left = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, spark.createDataFrame(docs, "doc_id long, text string"), SF)
+    assert sorted(r.doc_id for r in left.collect()) == kept[0]
+
+
 def test_pipeline_stages_on_odd_documents(spark):
     df, _ = documents(spark)
     odd = df.filter("doc_id is null or doc_id >= 12000")
