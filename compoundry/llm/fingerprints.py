@@ -2,7 +2,8 @@
 
 ``in_order`` gives every document's fingerprint, and its likeness to the next document and to itself with its end
 replaced by that document's beginning. ``classes`` finds near copies: signature bands are joined in Spark and links
-are verified by the Jaccard similarity of full sets (see ``minmax`` for how hot buckets are dealt with).
+are verified by the Jaccard similarity of full sets (see ``minmax`` for how hot buckets are dealt with). ``whole``
+gives both, row by row.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ PERMUTATIONS = 128
 CHUNK = 8192
 BLANK = " \t\n\x0b\x0c\r"
 LEAST = -(2**63)
-#: 25 bands of 5 values of the first 125: a similarity of 0.85 is missed by all with a chance below 1e-6.
+#: 25 bands of 5 values of the first 125: a similarity of 0.85 is missed by all with a chance of 1e-6, 0.80 of 5e-5.
 BANDS, ROWS = 25, 5
 
 _A = (constants(303, PERMUTATIONS) >> U(32)).astype(np.uint32) | np.uint32(1)
@@ -95,18 +96,20 @@ def compare(text: str, after: str) -> tuple[np.ndarray, np.ndarray, str]:
     return whole(text[cut:]), whole(edit), hashlib.sha256((text[:cut] + edit).encode()).hexdigest()
 
 
-def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
+def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int | None = None,
+             hashed: bool = False) -> DataFrame:
     """For every row ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited`` and ``near_next``; the next document is the one of the next smaller id, after the last the first.
 
     Null texts count as empty; rows with a null id come last, rows of one id by text; a single row is its own next.
     Texts are dealt out once, by ranges of ids; the first row of a range goes to the range before it too. Only the
-    bounds and the greatest id of each range reach the driver, as many as there are partitions.
+    bounds and the greatest id of each range reach the driver, as many as there are partitions. With ``hashed`` the
+    column ``text_hash`` comes last.
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("text_hash"),
                        F.coalesce(F.col(doc_id).cast("long"), F.lit(LEAST)).alias("key"))
     bounds = sorted(set(map(int, rows.select("key").approxQuantile(
         "key", [k / parts for k in range(1, parts)], 0.2 / parts)))) if parts > 1 else []
@@ -118,39 +121,41 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts:
     guests = [(top, tops[(k + 1) % len(tops)][0]) for k, (_, top) in enumerate(tops)]
     hosts = F.broadcast(spark.createDataFrame(guests, "key long, host int"))
     visiting = rows.join(hosts, "key", "left")
-    both = visiting.select("doc_id", "text", "key", F.explode(F.when(F.col("host").isNull(), F.array(
+    both = visiting.select("doc_id", "text", "text_hash", "key", F.explode(F.when(F.col("host").isNull(), F.array(
         F.struct(F.col("place").alias("place"), F.lit(0).alias("guest")))).otherwise(F.array(
             F.struct(F.col("place").alias("place"), F.lit(0).alias("guest")),
             F.struct(F.col("host").alias("place"), F.lit(1).alias("guest"))))).alias("at"))
-    dealt = both.select("doc_id", "text", "key", "at.place", "at.guest").repartitionById(len(bounds) + 1, F.col("place"))
-    ordered = dealt.sortWithinPartitions("place", "guest", F.desc("key"), "text").select("doc_id", "text", "place", "guest")
-    add = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    dealt = both.select("doc_id", "text", "text_hash", "key", "at.place", "at.guest").repartitionById(len(bounds) + 1, F.col("place"))
+    ordered = dealt.sortWithinPartitions("place", "guest", F.desc("key"), "text").select(
+        "doc_id", "text", "place", "guest", "text_hash")
+    add = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, text_hash long, near_next double"
     names = ["doc_id", *[c.split(" ")[0] for c in add.split(", ")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the row before: its id, text and place
+        held = None  # the row before: its id, text, place and hash
 
         last = None  # what was found of the row before it, still without its likeness to the held row
 
         for batch in batches:
             done = []
-            for i, t, place, guest in zip(*[batch.column(k).to_pylist() for k in range(4)], strict=True):
+            for i, t, place, guest, own in zip(*[batch.column(k).to_pylist() for k in range(5)], strict=True):
                 if held is not None and held[2] == place:
                     low, edited, sha = compare(held[1], t)
                     x, y = digest(low), digest(edited)
                     if last is not None:
                         done.append((*last[0], likeness(last[1], x)))
-                    last = ((held[0], len(held[1]), sha, x.tobytes().hex(), y.tobytes().hex(), likeness(x, y)), x)
+                    last = ((held[0], len(held[1]), sha, x.tobytes().hex(), y.tobytes().hex(), likeness(x, y), held[3]), x)
                 if guest and last is not None:  # the end of a range: its last row is followed by the first guest
                     done.append((*last[0], likeness(last[1], digest(compare(t, "")[0]))))
                     last = None
-                held = None if guest else (i, t, place)
+                held = None if guest else (i, t, place, own)
             if done:
                 columns = list(zip(*done, strict=True))
-                types = [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+                types = [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.int64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(columns, types, strict=True)], names=names)
 
-    return ordered.mapInArrow(run, f"doc_id {kind}, {add}")
+    out = ordered.mapInArrow(run, f"doc_id {kind}, {add}")
+    return out.select(*[c for c in names if c != "text_hash"], *(["text_hash"] if hashed else []))
 
 
 def bands(h: np.ndarray) -> np.ndarray:
@@ -161,4 +166,20 @@ def bands(h: np.ndarray) -> np.ndarray:
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row: near copies at ``percent`` hundredths."""
-    return minmax.linked(docs, doc_id, text, percent, bands).drop("text_hash")
+    return minmax.linked(docs, doc_id, text, percent, bands).drop("text_hash", "n_class")
+
+
+def whole(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
+    """``in_order``, and for every row ``component_id`` and ``n_class``: the least id of its near copies at ``percent``
+    hundredths, and how many rows they are (1: alone).
+
+    Links are not counted: of two near copies that others have joined already the pair is not made.
+    """
+    prints = in_order(docs, doc_id, text, hashed=True)
+    near = minmax.linked(docs, doc_id, text, percent, bands).filter("n_class > 1").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "component_id", "n_class").distinct()
+    out = prints.join(near, prints["doc_id"].eqNullSafe(near["_id"]) & (prints["text_hash"] == near["_hash"]), "left")
+    return out.select(
+        *[c for c in prints.columns if c != "text_hash"],
+        F.when(F.col("_hash").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        F.coalesce("n_class", F.lit(1)).alias("n_class"))

@@ -103,7 +103,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
            band_hashes: Callable[[np.ndarray], np.ndarray] = bands) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` (least id reachable) and ``kept``, for every row.
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` (least id reachable), ``kept`` and ``n_class`` (rows of
+    the component), for every row.
 
     Null and empty texts, and texts without words, have no shingles and are linked with nothing. Repeated rows get
     equal results. A row with a null id joins the component of its text, and is kept only where that has no other id.
@@ -151,10 +152,11 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
         roots = durable(components(links.union(more)), "roots")
     # Least id of each component; sets with one copy and no link need no entry.
     full = nodes.select("set_key", "rep", "copies").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
-    least = full.filter("root is not null").groupBy("root").agg(F.min("rep").alias("least"))
+    least = full.filter("root is not null").groupBy("root").agg(
+        F.min("rep").alias("least"), F.sum("copies").alias("n_class"))
     label = full.filter("copies > 1 or root is not null").join(least, "root", "left").select(
-        F.col("set_key"), F.coalesce("least", "rep").alias("least"))
+        F.col("set_key"), F.coalesce("least", "rep").alias("least"), F.coalesce("n_class", "copies").alias("n_class"))
     out = rows.select("doc_id", "text_hash", "n_shingles", "set_key").join(label, "set_key", "left")
     component = F.coalesce("least", "doc_id")
     return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("n_class", F.lit(1)).alias("n_class"))

@@ -149,7 +149,8 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.in_order(documents(spark, sf_dir))
+    """Fingerprints, and classes of near copies."""
+    return fingerprints.whole(documents(spark, sf_dir))
 
 
 SHARDS = [f"shard-{k:03d}" for k in range(128)]

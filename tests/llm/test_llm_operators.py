@@ -303,6 +303,18 @@ def test_fingerprint_classes_equal_all_pairs(spark):
     same(fingerprints.classes(frame(spark, docs), percent=85).collect(), near_classes(docs, 85))
 
 
+def test_fingerprints_have_their_classes(spark):
+    docs = [(100 + k, t) for k, t in enumerate(mutated(40, 1) + [prose(90, 50 + k) for k in range(20)])] + CASES
+    rows = fingerprints.whole(frame(spark, docs)).collect()
+    classes = near_classes(docs, 80)
+    same([(r.doc_id, r.n_chars, r.component_id) for r in rows],
+         [(d, len(text(t)), c) for (d, t), (_, _, c, _) in zip(docs, classes, strict=True)])
+    sizes = collections.Counter(c for _, n, c, _ in classes if n)  # texts without words are alone
+    same([(r.doc_id, r.n_chars, r.n_class) for r in rows],
+         [(d, len(text(t)), sizes[c] if n else 1) for (d, t), (_, n, c, _) in zip(docs, classes, strict=True)])
+    assert max(sizes.values()) > 10
+
+
 def test_components(spark):
     r = random.Random(5)
     edges = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(k, k + 1) for k in range(1000, 1060)] + [(5, 5)]
