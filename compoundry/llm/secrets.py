@@ -20,9 +20,13 @@ ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{32,}"
 KINDS = ["assign", "access", "hex", "markov"]
 
-#: A candidate of the method: a run of such characters, at least so long, with a letter and a digit, and with at most
-#: one hyphen or underscore in sixteen characters (dates and joined names have more).
+#: A candidate of the method: a run of such characters, at least so long, with a letter and a digit. Dates and joined
+#: names are left to the models.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+#: Ordinary: long words, and joined names, dates and times, of which each part is either letters or a few digits.
+PART = "(?:[A-Za-z]++|[0-9]{1,2}T[0-9]{1,6}Z?|[0-9]{1,8}+Z?)"
+ORDINARY = (r"(?<![A-Za-z0-9+/_=-])(?:[A-Za-z][A-Za-z_-]{7,}|(?=[A-Za-z0-9_-]{8})"
+            + PART + "(?:[_-]++" + PART + r")+)(?![A-Za-z0-9+/_=-])")
 CLASSES = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-+"
 #: Thousandths of a nat for each pair of characters by which "random" must be the better explanation.
 MARGIN = 700
@@ -66,7 +70,8 @@ def train(samples: DataFrame) -> list[int]:
 
 
 def labelled(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """Labelled samples of a corpus: values that the fixed patterns find are random; long words are ordinary.
+    """Labelled samples of a corpus: values that the fixed patterns find are random; long words, joined names and
+    dates are ordinary.
 
     They come from about ``sample_docs`` documents, chosen by hash; the same rows give the same sample.
     """
@@ -76,7 +81,7 @@ def labelled(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", sample
     t = F.col(text)
     secret = F.concat(F.regexp_extract_all(t, F.lit(ASSIGN), 2), F.regexp_extract_all(t, F.lit(ACCESS), 0),
                       F.regexp_extract_all(t, F.lit(HEX), 0))
-    ordinary = F.regexp_extract_all(t, F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z][A-Za-z_-]{7,}(?![A-Za-z0-9+/_=-])"), 0)
+    ordinary = F.regexp_extract_all(t, F.lit(ORDINARY), 0)
     return chosen.select(F.explode(F.concat(
         F.transform(F.filter(secret, lambda v: F.length(v) >= 16), lambda v: F.struct(v.alias("value"), F.lit(True).alias("random"))),
         F.transform(ordinary, lambda v: F.struct(v.alias("value"), F.lit(False).alias("random"))),
@@ -143,8 +148,7 @@ def scan(docs: DataFrame, table: Sequence[int], text: str = "text", margin: int
     df = df.select("_row", "_text", F.array_sort(base).alias("_base"))
     df = located(df, CANDIDATE, "_candidates")
     likely = F.filter("_candidates", lambda s: (
-        s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")
-        & (16 * F.regexp_count(s["value"], F.lit("[-_]")) <= F.length(s["value"]))))
+        s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]")))
     df = df.select("_row", "_text", "_base", likely.alias("_likely"))
     df = df.select("*", F.transform("_likely", lambda s: classes(s["value"])).alias("_classes"))
     lookup = F.expr(f"array({','.join(map(str, table))})")

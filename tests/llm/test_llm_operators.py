@@ -419,6 +419,32 @@ def test_markov_models_tell_held_out_strings_apart(spark, ratios):
     assert sum(got[d] > 0 for d, _ in plain) <= 0.02 * len(plain)
 
 
+def test_url_safe_strings_are_found_and_joined_names_with_digits_are_not(spark, ratios):
+    r = random.Random(4)
+    safe = lambda n: "".join(r.choice(secrets.CLASSES[:62] + "-_") for _ in range(n))
+    keys = [v for n in (24, 40, 43, 64) for v in [safe(n) for _ in range(100)] if re.search("[0-9]", v)]
+    uuids = [f"{h[:8]}-{h[8:12]}-{h[12:16]}-{h[16:20]}-{h[20:]}" for h in (f"{r.getrandbits(128):032x}" for _ in range(100))]
+
+    def joined(k):
+        a, b, c = (r.choice(WORDS) + r.choice(WORDS) for _ in range(3))
+        day = f"20{r.randint(10, 25)}-{r.randint(1, 12):02d}-{r.randint(1, 28):02d}"
+        stamp = f"{day}T{r.randint(0, 23):02d}-{r.randint(0, 59):02d}-{r.randint(0, 59):02d}Z"
+        return [f"{day}-{a}-{b}", f"{a}_{b}_{c}_{r.randint(1, 99)}", stamp][k % 3]
+
+    text_of = lambda k: f'{joined(0)} {joined(1)} {joined(2)} token="{even(1, k)[0]}" {prose(20, k)}'
+    table = secrets.train(secrets.labelled(frame(spark, [(k, text_of(k)) for k in range(300)])))
+    plain = [v for v in (joined(k) for k in range(300)) if len(v) >= 20]
+
+    def found(values, table):
+        rows = frame(spark, [(k, f"see {v} here") for k, v in enumerate(values)])
+        return secrets.scan(rows, table).filter("size(secrets) > 0").count()
+
+    assert found(keys, table) >= 0.97 * len(keys)
+    assert found(plain, table) <= 0.02 * len(plain)
+    # Words of these tests have ten letters, six of them hexadecimal, so some UUIDs look ordinary; in the table above all more so.
+    assert found(uuids, ratios) >= 0.75 * len(uuids)
+
+
 def test_masking(spark, ratios):
     rows = [(1, 'é token = "a1b2c3d4e5f6a7b8" end'), (2, None), (3, ""), (4, "clean text"), (5, "token=" + "ab" * 20)]
     df = frame(spark, rows).withColumn("n_chars", F.lit(5).cast("long"))
