@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chats, counts, fingerprints, licenses, minmax, packing, pieces, quality, secrets, sharding
-from .common import documents, table
+from ..operators.skew import split_hot_join
+from . import chats, counts, fingerprints, licenses, minmax, packing, pieces, quality, secrets, sharding, tries
+from .common import documents, durable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -229,3 +230,54 @@ select conv_id, turn, 'result', call_id, coalesce(2 * depth::bigint + 1, 1), dep
        '{"content":' || to_json(text) || ',"id":' || to_json(call_id) || ',"type":"result"}'
 from r left join l using (call_id)
 """
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of the conversations, rebuilt to share their first turns with the first of each twenty."""
+    turns = tries.ordered(table(spark, sf_dir, "conversations"))
+    turns = durable(turns, "ordered")
+    convs = turns.groupBy("conv_id").agg(F.max("place").alias("n"))
+    convs = durable(convs.select("conv_id", "n", (F.col("conv_id") - F.col("conv_id") % 20).alias("base"), (F.crc32(
+        F.col("conv_id").cast("string").cast("binary")) % 4).alias("h")), "convs")
+    heads = convs.select("conv_id", "base", "h").join(turns.filter("place < 4").withColumnRenamed("conv_id", "base"), "base").filter(
+        "place <= h").select("conv_id", "place", "said", "words")
+    lengths = convs.select(F.col("conv_id").alias("base"), F.col("n").alias("n_base"))
+    moved = convs.join(lengths, "base", "left").select(
+        "conv_id", "h", (F.least("h", F.coalesce("n_base", F.lit(0))) - F.col("h")).alias("by"))
+    own = split_hot_join(turns, moved, ["conv_id"], rows_per_split=100_000, unique_right=True, how="left").filter("place > h").select(
+        "conv_id", (F.col("place") + F.col("by")).alias("place"), "said", "words")
+    members = tries.grow(heads.unionByName(own), convs)
+    digests = tries.list_digests(tries.ends(members)).withColumnRenamed("sha256", "ends_sha256")
+    return tries.rollup(members).join(digests, "id", "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit(""), 256)).alias("ends_sha256"))
+
+
+ORACLES["op13_prefix_trie"] = r"""
+with t as (select conv_id, coalesce(role, '') as role, coalesce(text, '') as text, turn from conversations where conv_id is not null),
+k as (select conv_id, turn, md5(length(role) || ':' || role || text) as said,
+             len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as words from t),
+o as (select conv_id, said, words, row_number() over (partition by conv_id order by turn nulls first, said) as place from k),
+l as (select conv_id, list(said order by place) as said, list(words order by place) as words, conv_id - conv_id % 20 as base,
+             xor(list_reduce(list_concat([4294967295::bigint],
+                     list_transform(range(1, length(conv_id::varchar) + 1), lambda i: ascii((conv_id::varchar)[i])::bigint)),
+                 lambda a, b: list_reduce(list_concat([xor(a, b)], range(8)), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))),
+                 4294967295) % 4 as h
+      from o group by conv_id),
+r as (select l.conv_id, list_concat(coalesce(b.said[1:l.h], []), l.said[l.h + 1:]) as said,
+             list_concat(coalesce(b.words[1:l.h], []), l.words[l.h + 1:]) as words
+      from l left join l as b on b.conv_id = l.base),
+m as (select conv_id, d, array_to_string(said[1:d], '') as p, coalesce(words[d], 0) as w, d = len(said) as last
+      from (select *, unnest(range(0, len(said) + 1)) as d from r)),
+n as (select p, d, min(conv_id) as conv_id, count(*) as n_convs, any_value(w) as w,
+             sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where last), '')) as ends_sha256
+      from m group by p, d),
+c as (select left(p, 32 * (d - 1)) as p, count(*) as n_children from n where d > 0 group by 1),
+v as (select n.*, coalesce(n_children, 0) as n_children from n left join c using (p)),
+s as (select left(p, 32 * k) as p, sum(case when n_children = 0 then 1 else 0 end) as n_leaves, sum((n_convs - 1) * w) as saved_tokens
+      from (select *, unnest(range(0, d + 1)) as k from v) group by 1)
+select v.conv_id, v.d::bigint as depth, u.conv_id as parent_conv_id, v.n_convs, v.n_children::bigint as n_children,
+       n_leaves::bigint as n_leaves, saved_tokens::bigint as saved_tokens, v.ends_sha256
+from v join s using (p) left join v as u on v.d > 0 and u.p = left(v.p, 32 * (v.d - 1))
+"""
