@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.skew import split_hot_join
-from . import chats, counts, fingerprints, licenses, minmax, packing, pieces, quality, secrets, sharding, tries
+from . import chats, counts, fingerprints, licenses, markov, minmax, negatives, packing, pieces, quality, secrets, sharding, tries
 from .common import documents, durable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -232,6 +232,41 @@ from r left join l using (call_id)
 """
 
 
+@query
+def op11_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by a hidden Markov model; four fifths of the documents train it."""
+    number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    return markov.learn_and_score(documents(spark, sf_dir), number % 5 == 1).select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives of every hundredth row, on components of 1/256; labels of every seventh row are moved on by one."""
+    rows = table(spark, sf_dir, "embeddings").filter(~F.exists("embedding", lambda x: F.isnan(x) | (F.abs(x) == float("inf"))))
+    return negatives.mine(rows.select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
+        F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("vector")))
+
+
+ORACLES["op12_hard_negatives"] = """
+with u as (select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+                  list_transform(embedding, lambda x: floor(256 * x::double)) as v
+           from embeddings
+           where vec_id is not null and label is not null and embedding is not null
+                 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.vec_id as anchor_id, b.vec_id as id, a.label = b.label as same, list_inner_product(a.v, b.v)::bigint as score
+      from u as a join u as b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+p as (select anchor_id, id as positive_id, score as positive_score from s where same
+      qualify row_number() over (partition by anchor_id order by score desc, id) <= 5)
+select anchor_id, positive_id, row_number() over (partition by anchor_id, positive_id order by score desc, id)::int as rank,
+       id as negative_id, positive_score, score as negative_score
+from p join s using (anchor_id)
+where not same and 30 * positive_score <= 100 * score and 100 * score <= 90 * positive_score
+qualify rank <= 10
+"""
+
+
 @query
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trie of the conversations, rebuilt to share their first turns with the first of each twenty."""

@@ -15,7 +15,7 @@ from compoundry.llm import queries, secrets
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
-TABLES = ["documents", "conversations"]
+TABLES = ["documents", "conversations", "embeddings"]
 
 
 def canonical(columns, rows):
@@ -38,11 +38,11 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     found = __spark_entry__.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in found if re.match(r"op\d+_", k)}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in found if re.match(r"op\d+_", k)}
     assert "pipeline" in found and set(queries.oracle_sql()) <= set(__spark_entry__.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["op1_sentencepiece", "op3_token_counts", "op6_minmax_dedup", "op7_secret_scans", "op8_fingerprints"])
+@pytest.mark.parametrize("name", ["op1_sentencepiece", "op3_token_counts", "op6_minmax_dedup", "op7_secret_scans", "op8_fingerprints", "op11_language_model"])
 def test_rows_of_queries_without_sql(spark, name):
     ids = [r.doc_id for r in queries.queries()[name](spark, SF).select("doc_id").collect()]
     assert sorted(ids) == sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
