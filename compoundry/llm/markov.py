@@ -30,10 +30,12 @@ from pyspark.sql import functions as F
 from .common import durable, strings
 
 STATES, CLASSES, ROUNDS = 8, 8192, 5
-#: Tokens of a piece; pieces that are worked on at a time.
-PIECE, BLOCK = 128, 4096
+#: Tokens of a piece; pieces that are worked on at a time: few enough for their products to be made by one thread.
+PIECE, BLOCK = 512, 1024
+#: Places after which transfer matrices are scaled again.
+SCALE_EVERY = 8
 #: A tile ends after the batch with which it reaches so many tokens, or distinct words.
-TILE_TOKENS, TILE_WORDS = 2_000_000, 250_000
+TILE_TOKENS, TILE_WORDS = 6_000_000, 500_000
 #: Shares of the class frequencies in every state's emissions, and of even moves in every state's transitions.
 SMOOTH, MIX = 0.05, 0.001
 END = b""
@@ -86,10 +88,14 @@ def transfer(model: Model, obs: np.ndarray, runs: np.ndarray, n: int) -> np.ndar
     """For each piece a multiple of the matrix that takes state weights before it to those after it."""
     states = len(model.start)
     m = np.broadcast_to(np.eye(states), (n, states, states)).copy()
+    spare = np.empty_like(m)
     for t, k in enumerate(runs):
-        x = (m[:k].reshape(-1, states) @ model.move).reshape(k, states, states) * model.emit[obs[t, :k]][:, None, :]
-        m[:k] = x / x.sum(axis=(1, 2))[:, None, None]
-    return m
+        x = spare[:k]
+        np.matmul(m[:k].reshape(-1, states), model.move, out=x.reshape(-1, states))
+        np.multiply(x, model.emit[obs[t, :k]][:, None, :], out=m[:k])
+        if t % SCALE_EVERY == 0:
+            m[:k] /= np.einsum("nst->n", m[:k])[:, None, None]
+    return m / m.sum(axis=(1, 2))[:, None, None]
 
 
 def borders(model: Model, pieces: Pieces, both: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -214,21 +220,31 @@ class Words(dict):
         return n
 
 
+def packed(codes: np.ndarray) -> bytes:
+    """Numbers below 2^32, byte plane by byte plane: the upper planes are mostly zero and cost little when stored."""
+    return codes.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def unpacked(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the parts, and how many each has."""
+    found = [np.ascontiguousarray(np.frombuffer(p, np.uint8).reshape(4, -1).T).view("<u4").ravel() for p in parts]
+    return np.concatenate(found).astype(np.int64), np.array([len(f) for f in found])
+
+
 def encode(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Texts (``kind`` 0) with ``doc_id``, ``held_out``, ``n_tokens``, and as packed numbers ``ids`` (words of the tile's
-    list) and ``classes``; and the lists (``kind`` 1) with ``word``, ``idx``, ``class`` and ``n`` (in training texts of
-    the tile). Both have ``tile``. A null text is empty. The result is written to the shared folder."""
+    """Texts (``codes`` not null) with ``doc_id``, ``held_out`` and, packed, the code of every token; and lists with
+    ``word``, ``code`` and ``n`` (in training texts of the tile). Both have ``tile``. A code is the class of a word plus
+    CLASSES times its place among the words of that class in its tile. A null text is empty. The result is written to the
+    shared folder."""
     own = docs.schema[doc_id].dataType.simpleString()
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out.alias("held_out"), F.col(text).alias("text"))
-    schema = (f"kind int, tile long, doc_id {own}, held_out boolean, n_tokens long, ids binary, classes binary, "
-              "word binary, idx int, class int, n long")
+    schema = f"tile long, doc_id {own}, held_out boolean, codes binary, word binary, code long, n long"
     names = [part.split(" ")[0] for part in schema.split(", ")]
-    kinds: list[pa.DataType] = [
-        pa.int32(), pa.int64(), None, pa.bool_(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]
+    kinds: list[pa.DataType] = [pa.int64(), None, pa.bool_(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tile, count, classes, tokens = TaskContext.get().partitionId() << 32, np.zeros(0, np.int64), np.zeros(0, np.int32), 0
-        words = Words()
+        tile, words, tokens = TaskContext.get().partitionId() << 32, Words(), 0
+        codes, count, used = np.zeros(0, np.int64), np.zeros(0, np.int64), [0] * CLASSES
         for batch in batches:
             of = [batch.schema.field("doc_id").type if k is None else k for k in kinds]
 
@@ -239,42 +255,40 @@ def encode(docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str
 
             cut = [t.encode().lower().split() for t in strings(batch, "text")]
             ids = [np.fromiter(map(words.__getitem__, [*w, END]), np.int32, len(w) + 1) for w in cut]
-            new = [xxhash.xxh64_intdigest(w) % CLASSES for w in list(words)[len(classes):]]
-            classes = np.concatenate((classes, np.array(new, np.int32)))
+            new = []
+            for w in list(words)[len(codes):]:
+                k = xxhash.xxh64_intdigest(w) % CLASSES
+                new.append(k + CLASSES * used[k])
+                used[k] += 1
+            codes = np.concatenate((codes, np.array(new, np.int64)))
             held = batch.column(1).to_pylist()
-            count = np.concatenate((count, np.zeros(len(classes) - len(count), np.int64)))
-            count += np.bincount(np.concatenate([np.zeros(0, np.int32), *[x for x, h in zip(ids, held, strict=True) if not h]]),
-                                 minlength=len(count))
+            learnt = [np.zeros(0, np.int32), *[x for x, h in zip(ids, held, strict=True) if not h]]
+            count = np.concatenate((count, np.zeros(len(new), np.int64))) + np.bincount(np.concatenate(learnt), minlength=len(codes))
             if ids:
-                yield made(len(ids), {
-                    "kind": np.zeros(len(ids), np.int32), "doc_id": batch.column(0), "held_out": held,
-                    "n_tokens": [len(x) for x in ids], "ids": [x.tobytes() for x in ids],
-                    "classes": [classes[x].astype(np.uint16).tobytes() for x in ids]})
+                yield made(len(ids), {"doc_id": batch.column(0), "held_out": held, "codes": [packed(codes[x]) for x in ids]})
             tokens += sum(map(len, ids))
             if tokens >= TILE_TOKENS or len(words) >= TILE_WORDS:
-                yield from listed(made, words, classes, count)
-                words.clear()
-                tile, count, classes, tokens = tile + 1, np.zeros(0, np.int64), np.zeros(0, np.int32), 0
+                yield from listed(made, words, codes, count)
+                tile, words, tokens = tile + 1, Words(), 0
+                codes, count, used = np.zeros(0, np.int64), np.zeros(0, np.int64), [0] * CLASSES
         if words:
-            yield from listed(made, words, classes, count)
+            yield from listed(made, words, codes, count)
 
     return durable(rows.mapInArrow(run, schema), "tokens")
 
 
-def listed(made: Callable[[int, dict], pa.RecordBatch], words: Words, classes: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
+def listed(made: Callable[[int, dict], pa.RecordBatch], words: Words, codes: np.ndarray, count: np.ndarray) -> Iterator[pa.RecordBatch]:
     """The list of a tile as rows."""
-    words = list(words)
-    for k in range(0, len(words), 50_000):
-        part = words[k: k + 50_000]
-        n = len(part)
-        yield made(n, {"kind": np.ones(n, np.int32), "word": part, "idx": np.arange(k, k + n, dtype=np.int32),
-                       "class": classes[k: k + n], "n": count[k: k + n]})
+    order = list(words)
+    for k in range(0, len(order), 50_000):
+        part = order[k: k + 50_000]
+        yield made(len(part), {"word": part, "code": codes[k: k + 50_000], "n": count[k: k + 50_000]})
 
 
 def word_counts(coded: DataFrame) -> DataFrame:
     """``word``, ``class`` and ``c`` of every training word, written to the shared folder."""
-    return durable(coded.filter("kind = 1 and n > 0").groupBy("word").agg(
-        F.sum("n").alias("c"), F.first("class").alias("class")), "counts")
+    return durable(coded.filter("n > 0").groupBy("word").agg(
+        F.sum("n").alias("c"), F.first(F.col("code") % CLASSES).cast("int").alias("class")), "counts")
 
 
 class Totals:
@@ -293,7 +307,7 @@ class Totals:
 def train(coded: DataFrame, totals: Totals, states: int = STATES, rounds: int = ROUNDS) -> tuple[Model, list[float]]:
     """The model after ``rounds`` rounds of Baum-Welch over all texts that are not held out, and the log likelihood of
     these (of classes) before each round. The driver gets the sums only: CLASSES + STATES + 2 rows."""
-    texts = coded.filter("kind = 0 and not held_out").select("classes")
+    texts = coded.filter("codes is not null and not held_out").select("codes")
     names = [f"s{k}" for k in range(states)]
     schema = "key int, " + ", ".join(f"{c} double" for c in names)
     model, logs = first_model(totals.frequency, totals.unknown, states), []
@@ -303,9 +317,9 @@ def train(coded: DataFrame, totals: Totals, states: int = STATES, rounds: int =
         def run(batches: Iterator[pa.RecordBatch], now: Model = now) -> Iterator[pa.RecordBatch]:
             expected = Expected(now)
             for batch in batches:
-                packed = batch.column(0).to_pylist()
-                if packed:
-                    expected.add(np.frombuffer(b"".join(packed), np.uint16), np.array([len(p) // 2 for p in packed]))
+                if batch.num_rows:
+                    codes, lengths = unpacked(batch.column(0).to_pylist())
+                    expected.add(codes % CLASSES, lengths)
             log = np.zeros((1, states))
             log[0, 0] = expected.log
             rows = np.vstack((expected.emit[:CLASSES], expected.move, expected.start[None, :], log))
@@ -325,53 +339,51 @@ def score(coded: DataFrame, counts: DataFrame, totals: Totals, model: Model) ->
     """For every text ``doc_id``, ``held_out``, ``n_tokens``, ``n_known`` (tokens seen in training), ``base_score``
     (smoothed unigram) and ``score`` (this model's), both log10 probabilities of the whole text."""
     own = coded.schema["doc_id"].dataType.simpleString()
-    lists = coded.filter("kind = 1").select("tile", "idx", "word").join(counts, "word").select(
-        "tile", F.lit(0).alias("kind"), "idx", "class", "c", *[F.lit(None).cast(t).alias(c) for c, t in (
-            ("doc_id", own), ("held_out", "boolean"), ("ids", "binary"))])
-    texts = coded.filter("kind = 0").select(
-        "tile", F.lit(1).alias("kind"), *[F.lit(None).cast(t).alias(c) for c, t in (("idx", "int"), ("class", "int"), ("c", "long"))],
-        "doc_id", "held_out", "ids")
-    dealt = lists.unionByName(texts).repartition("tile").sortWithinPartitions("tile", "kind")
+    inner = f"struct<doc_id: {own}, held_out: boolean, codes: binary>"
+    lists = coded.filter("word is not null").select("tile", "code", "word").join(counts.select("word", "c"), "word").select(
+        "tile", "code", "c", F.lit(None).cast(inner).alias("text"))
+    texts = coded.filter("codes is not null").select(
+        "tile", F.lit(None).cast("long").alias("code"), F.lit(None).cast("long").alias("c"),
+        F.struct("doc_id", "held_out", "codes").alias("text"))
+    dealt = lists.unionByName(texts).repartition("tile").sortWithinPartitions("tile", F.col("code").asc_nulls_last())
     schema = f"doc_id {own}, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     names = [part.split(" ")[0] for part in schema.split(", ")]
     whole = np.log10(totals.n + 0.5 * (totals.v + 1))
     weight = np.log10(np.where(totals.weight > 0, totals.weight, 1))
 
-    def scored(batch: pa.RecordBatch, c: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
-        packed = batch.column(7).to_pylist()
-        lengths = np.array([len(p) // 4 for p in packed])
-        ids, begin = np.frombuffer(b"".join(packed), np.int32), np.cumsum(lengths) - lengths
-        least = int(ids.max()) + 1
-        if len(c) < least:  # words without a training count stand last
-            c, of = (np.concatenate((v, np.zeros(least - len(v), v.dtype))) for v in (c, of))
-        known = c[ids] > 0
-        logs = np.log10(c + 0.5)
-        base = np.add.reduceat(logs[ids], begin) - lengths * whole
-        inside = np.add.reduceat(np.where(known, (logs - weight[of])[ids], 0), begin)
-        latent = log_likelihood(model, np.where(known, of[ids], CLASSES), lengths) / np.log(10)
+    def scored(texts: pa.StructArray, c: np.ndarray) -> pa.RecordBatch:
+        codes, lengths = unpacked(texts.field(2).to_pylist())
+        begin = np.cumsum(lengths) - lengths
+        if len(c) <= codes.max():  # codes of words without a training count
+            c = np.concatenate((c, np.zeros(codes.max() + 1 - len(c))))
+        of, known = codes % CLASSES, c[codes] > 0
+        logs = np.log10(c[codes] + 0.5)
+        base = np.add.reduceat(logs, begin) - lengths * whole
+        inside = np.add.reduceat(np.where(known, logs - weight[of], 0), begin)
+        latent = log_likelihood(model, np.where(known, of, CLASSES), lengths) / np.log(10)
         return pa.RecordBatch.from_arrays([
-            batch.column(5), batch.column(6), pa.array(lengths), pa.array(np.add.reduceat(known.astype(np.int64), begin)),
+            texts.field(0), texts.field(1), pa.array(lengths), pa.array(np.add.reduceat(known.astype(np.int64), begin)),
             pa.array(base), pa.array(inside + latent)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held, c, of = None, [], np.zeros(0), np.zeros(0, np.int32)
+        now, held, c = None, [], np.zeros(0)
         for batch in batches:
-            tiles, kinds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            edges = np.nonzero((np.diff(tiles) != 0) | (np.diff(kinds) != 0))[0] + 1
+            tiles, is_text = batch.column(0).to_numpy(), batch.column(1).is_null().to_numpy(zero_copy_only=False)
+            edges = np.nonzero((np.diff(tiles) != 0) | (np.diff(is_text.astype(np.int8)) != 0))[0] + 1
             for first, last in zip([0, *edges], [*edges, len(tiles)], strict=True):
                 if first == last:
                     continue
                 part = batch.slice(first, last - first)
                 if tiles[first] != now:
-                    now, held, c, of = tiles[first], [], np.zeros(0), np.zeros(0, np.int32)
-                if kinds[first] == 0:
-                    held.append([part.column(k).to_numpy() for k in (2, 3, 4)])
+                    now, held, c = tiles[first], [], np.zeros(0)
+                if not is_text[first]:
+                    held.append([part.column(k).to_numpy() for k in (1, 2)])
                     continue
                 if held:
-                    idx, cls, n = (np.concatenate(v) for v in zip(*held, strict=True))
-                    c, of, held = np.zeros(idx.max() + 1), np.zeros(idx.max() + 1, np.int32), []
-                    c[idx], of[idx] = n, cls
-                yield scored(part, c, of)
+                    codes, n = (np.concatenate(v) for v in zip(*held, strict=True))
+                    c, held = np.zeros(codes.max() + 1), []
+                    c[codes] = n
+                yield scored(part.column(3), c)
 
     return dealt.mapInArrow(run, schema)
 
