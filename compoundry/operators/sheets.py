@@ -14,6 +14,7 @@ from .. import patterns as P
 from ..functions.cas import cas_normalize, extract_cas_bounded
 from ..functions.sheets import component_name, h_codes, p_codes, parse_concentration, section_tag, signal_words
 from ..functions.text import strip_ws
+from ..session import durable
 from .carry import RANGE, carry
 
 # A line that names a section; the number stands on the same line. The plain pattern knows the line
@@ -28,14 +29,14 @@ _LAST_TAG = "(?is)(?:.*[" + P.LINE_BREAK_CHARS + "]|^)" + _LINE_CHARS + "?(" + _
 _ANY_HIT = r"[0-9]-[0-9]{2}-[0-9]|\b[HP][0-9]{3}|(?i:DANGER|WARNING)"
 
 # A heading: keyword and number at the start of a line, then a title that may stand on a later line.
-# MARK stands between the text of a page and the first characters of the next one.
-_MARK = "\u0001"
-_GAP = r"[\x01" + P.WS[1:] + "*"
+_GAP = P.WS + "*"
 _NUMBERED = r"(?:SECTION|SEC\.)" + _GAP + r"([0-9]{1,2})(?![0-9])"
 _HEAD = _NUMBERED + _GAP + r"[:.-]?" + _GAP
 _INDENT = P.INLINE_WS + "*"
-_HEADING_AHEAD = r"(?imd)^(?=" + _INDENT + _HEAD + r"[^\n\x01" + P.WS[1:] + ")"
-_HEADING_AT_START = r"(?i)\A" + _INDENT + _HEAD + r"[^\n\x01" + P.WS[1:]
+_HEADING_AHEAD = r"(?imd)^(?=" + _INDENT + _HEAD + r"[^\n" + P.WS[1:] + ")"
+_HEADING_AT_START = r"(?i)\A" + _INDENT + _HEAD + r"[^\n" + P.WS[1:]
+# A page that ends inside a heading: nothing visible follows its keyword, its number or its separator.
+_OPEN_END = "(?imd)^" + _INDENT + r"(?:SECTION|SEC\.)" + _GAP + "(?:[0-9]{1,2}" + _GAP + r"[:.-]?)?" + _GAP + r"\z"
 _HEADING_PARTS = "(?i)^" + P.WS + "*" + _HEAD + r"([^\n]+?)" + P.WS + r"*(?:\n|\z)"
 # What the next written pages must show of themselves: a number of two digits, what follows it, one separator and one
 # visible character are within eight visible characters. With each run of white space as one blank, sixteen hold them.
@@ -90,13 +91,27 @@ def carry_section(pages: DataFrame, width: int | None = None) -> DataFrame:
 
 
 def mined_lines(pages: DataFrame, width: int | None = None) -> DataFrame:
-    """Lines that may hold a number, a code or a signal word, with section and position; others are dropped early."""
-    s = with_section(pages, width)
-    return (
-        s.select("doc_id", "page_no", "segment", "section", F.posexplode(_lines(F.col("text"))).alias("n", "line"))
-        .filter(F.col("line").rlike(_ANY_HIT))
-        .select("doc_id", "page_no", "section", "line", F.struct("page_no", "segment", "n").alias("pos"))
-    )
+    """Lines that may hold a number, a code or a signal word, with section and position; others are dropped early.
+
+    Texts are read once: of each page its last section tag and the lines in question are written to the shared folder.
+    What crosses pages is carried over these narrow rows and joined to the lines above the first tag of their page.
+    """
+    text = F.col("text")
+    last_tag = F.upper(F.nullif(F.regexp_extract(text, _LAST_TAG, 1), F.lit("")))
+    segments = F.transform(_segments(text), lambda s, k: F.struct(k.alias("segment"), _segment_tag(s).alias("section"), F.filter(
+        F.transform(_lines(s), lambda line, n: F.struct(n.alias("n"), line.alias("line"))),
+        lambda x: x["line"].rlike(_ANY_HIT)).alias("lines")))
+    read = pages.filter(text != "").select(
+        "doc_id", "page_no", last_tag.alias("_tag"), F.filter(segments, lambda s: F.size(s["lines"]) > 0).alias("_segments"))
+    read = durable(read.filter("_tag is not null or size(_segments) > 0"), "hits")
+    hits = read.select("doc_id", "page_no", F.explode("_segments").alias("s")).select(
+        "doc_id", "page_no", "s.segment", "s.section", F.explode("s.lines").alias("x")).select(
+        "doc_id", "page_no", "section", "x.line", F.struct("page_no", "segment", "x.n").alias("pos"))
+    tags = read.select("doc_id", "page_no", "_tag", F.exists("_segments", lambda s: s["section"].isNull()).alias("_wants"))
+    carried = carry(tags, "doc_id", "page_no", "_tag", "_carried", **({"width": width} if width else {})).filter(
+        "_wants and _carried is not null").select("doc_id", "page_no", "_carried")
+    above = hits.filter("section is null").join(carried, ["doc_id", "page_no"], "left").withColumn("section", F.col("_carried"))
+    return hits.filter("section is not null").unionByName(above.drop("_carried"))
 
 
 def _hits(lines: DataFrame, found: Column, extra: list[str] | None = None) -> DataFrame:
@@ -160,62 +175,70 @@ def extract_hazards(lines: DataFrame) -> DataFrame:
     )
 
 
-def following(pages: DataFrame) -> DataFrame:
-    """Of every written page, the start of what comes after it: (``doc_id``, ``_range``, ``page_no``, ``_next``).
+def following(starts: DataFrame) -> DataFrame:
+    """Of every page that ends inside a heading (``_open``), the start of what comes after it: (``doc_id``, ``page_no``,
+    ``_next``). ``starts`` has ``doc_id``, ``page_no``, ``_range``, ``_start`` (not empty) and ``_open``.
 
     A short page shows little, so the starts of as many following written pages as may be needed are joined; each has
     one visible character at least. Starts travel inside the range of a page, and from the ranges after it as one
     value for each range.
     """
-    start = strip_ws(F.regexp_replace("text", P.WS + "+", " "))
-    starts = pages.select("doc_id", "_range", "page_no", F.substring(start, 1, _NEXT_CHARS).alias("_start")).filter("_start <> ''")
     inside = W.partitionBy("doc_id", "_range").orderBy("page_no").rowsBetween(1, _VISIBLE)
     heads = starts.groupBy("doc_id", "_range").agg(F.array_sort(F.collect_list(F.struct("page_no", "_start"))).alias("_all"))
     heads = heads.select("doc_id", "_range", F.array_join(F.transform(F.slice("_all", 1, _VISIBLE), lambda x: x["_start"]), " ").alias("_head"))
     later = W.partitionBy("doc_id").orderBy("_range").rowsBetween(1, _VISIBLE)
     heads = heads.select("doc_id", "_range", F.collect_list("_head").over(later).alias("_later"))
-    near = starts.withColumn("_near", F.collect_list("_start").over(inside))
+    near = starts.withColumn("_near", F.collect_list("_start").over(inside)).filter("_open")
     return near.join(heads, ["doc_id", "_range"]).select(
-        "doc_id", "_range", "page_no", F.array_join(F.concat("_near", "_later"), " ").alias("_next"))
+        "doc_id", "page_no", F.array_join(F.concat("_near", "_later"), " ").alias("_next"))
 
 
 def section_pieces(pages: DataFrame, width: int | None = None) -> DataFrame:
     """Every heading with its body, in reading order: (doc, page, piece, section_no, title, text).
 
-    A page is cut at its headings. The first visible characters of the next written pages are in view while
-    cutting, because number and title may stand there. The part of a page before its first heading goes on with
-    the heading carried from earlier pages.
+    A page is cut at its headings. Where it ends inside one, the first visible characters of the next written pages are
+    in view while cutting, because number and title may stand there. The part of a page before its first heading goes
+    on with the heading carried from earlier pages.
+
+    Texts are read twice: once for their starts and ends, which are narrow, and once to be cut. The pieces are written
+    to the shared folder; of these only the first ones of pages without a heading at their start are joined again.
     """
     w = {"width": width} if width else {}
-    text = F.coalesce("text", F.lit(""))
-    rows = pages.select("doc_id", "page_no", text.alias("text")).withColumn("_range", F.floor(F.col("page_no") / (width or RANGE)))
-    ahead = rows.join(following(rows), ["doc_id", "_range", "page_no"], "left")
-    joined = F.concat("text", F.lit(_MARK + "\n"), F.coalesce("_next", F.lit("")))
+    rows = pages.select("doc_id", "page_no", F.coalesce("text", F.lit("")).alias("text"))
+    start = strip_ws(F.regexp_replace("text", P.WS + "+", " "))
+    starts = rows.select(
+        "doc_id", "page_no", F.floor(F.col("page_no") / (width or RANGE)).alias("_range"),
+        F.substring(start, 1, _NEXT_CHARS).alias("_start"), F.col("text").rlike(_OPEN_END).alias("_open")).filter("_start <> ''")
+    ahead = rows.join(following(durable(starts, "starts")), ["doc_id", "page_no"], "left")
+    # A line break stands between a page and what is shown of the next ones; a piece that begins there is theirs.
+    joined = F.concat("text", F.lit("\n"), F.coalesce("_next", F.lit("")))
+    size = F.length("text")
     cut = ahead.select(
-        "doc_id", "page_no", "_range", F.split(joined, _HEADING_AHEAD, -1).alias("_cut"),
-        joined.rlike(_HEADING_AT_START).alias("_opens"),
-    )
-    upto = F.array_position(F.transform("_cut", lambda p: p.contains(_MARK)), True).cast("int")
+        "doc_id", "page_no", size.alias("_size"), joined.rlike(_HEADING_AT_START).alias("_opens"),
+        F.split(joined, _HEADING_AHEAD, -1).alias("_cut"))
+    begins = F.concat(F.array(F.lit(0)), F.transform(F.sequence(F.lit(1), F.size("_cut")), lambda n: F.aggregate(
+        F.slice("_cut", F.lit(1), n), F.lit(0), lambda total, p: total + F.length(p))))
     # every piece but the first starts at a heading, because the cut was made there
-    pieces = cut.select(
-        "doc_id", "page_no", "_range",
-        F.transform(
-            F.slice("_cut", F.lit(1), upto),
-            lambda p, i: F.struct(F.substring_index(p, _MARK, 1).alias("body"), ((i > 0) | F.col("_opens")).alias("head")),
-        ).alias("_pieces"),
-    )
-    last_head = F.when(
-        F.exists("_pieces", lambda p: p["head"]), F.struct(F.col("page_no").alias("p"), (F.size("_pieces") - 1).alias("i"))
-    )
-    carried = carry(pieces.withColumn("_last", last_head), "doc_id", "page_no", "_last", "_carried", **w)
-    rows = carried.select("doc_id", "page_no", "_carried", F.posexplode("_pieces").alias("i", "piece"))
-    home = F.when(F.col("piece.head"), F.struct(F.col("page_no").alias("p"), F.col("i").alias("i"))).otherwise(
-        F.col("_carried")
-    )
-    owned = rows.select("doc_id", "page_no", home.alias("home"), F.col("piece.body").alias("body")).filter(
-        F.col("home").isNotNull()
-    )
-    bodies = owned.groupBy("doc_id", "home").agg(
+    pieces = cut.withColumn("_begins", begins).select(
+        "doc_id", "page_no",
+        F.filter(
+            F.transform("_cut", lambda p, i: F.struct(
+                i.alias("i"), F.get("_begins", i).alias("begin"), ((i > 0) | F.col("_opens")).alias("head"),
+                F.substring(p, F.lit(1), F.col("_size") - F.get("_begins", i)).alias("body"))),
+            lambda x: (x["i"] == 0) | (x["begin"] < F.col("_size"))).alias("_pieces"))
+    pieces = durable(pieces, "pieces")
+    last = F.element_at("_pieces", -1)
+    tails = pieces.select("doc_id", "page_no", F.when(last["head"], F.struct(
+        F.col("page_no").alias("p"), last["i"].alias("i"))).alias("_last"))
+    carried = carry(tails, "doc_id", "page_no", "_last", "_carried", **w).filter("_carried is not null").select(
+        "doc_id", "page_no", "_carried")
+    each = pieces.select("doc_id", "page_no", F.explode("_pieces").alias("piece"))
+    headed = each.filter("piece.head").select(
+        "doc_id", "page_no", F.struct(F.col("page_no").alias("p"), F.col("piece.i").alias("i")).alias("home"),
+        F.col("piece.body").alias("body"))
+    going_on = each.filter("not piece.head").select("doc_id", "page_no", F.col("piece.body").alias("body")).join(
+        carried, ["doc_id", "page_no"]).select("doc_id", "page_no", F.col("_carried").alias("home"), "body")
+    bodies = headed.unionByName(going_on).groupBy("doc_id", "home").agg(
         F.array_join(
             F.transform(F.array_sort(F.collect_list(F.struct("page_no", "body"))), lambda x: x["body"]), "\n"
         ).alias("text")

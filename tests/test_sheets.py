@@ -120,3 +120,22 @@ def test_lines_follow_all_line_breaks(spark):
     df = spark.createDataFrame([(1, 1, text), (1, 2, ""), (1, 3, None), (2, 1, "x")], "doc_id long, page_no int, text string")
     got = [(r.line_no, r.line) for r in sheets.explode_lines(df).filter("doc_id=1").orderBy("line_no").collect()]
     assert got == list(enumerate(text.splitlines(), 1))
+
+
+def test_control_characters_are_text_like_any_other(spark):
+    pages = [(1, 1, "SECTION 1 Title\nabc\x01def\nSECTION 2 Foo\nbar"), (1, 2, "\x01\nSECTION"), (1, 3, "3 \x01x\n\x01SECTION 4 y"),
+             (2, 1, "SECTION 1 a\x00b\x02\x01")]
+    df = spark.createDataFrame(pages, "doc_id long, page_no int, text string")
+    got = {(r.doc_id, r.section_no): (r.title, r.text) for r in sheets.split_sections(df).collect()}
+    assert got == {
+        (1, 1): ("Title", "SECTION 1 Title\nabc\x01def"), (1, 2): ("Foo", "SECTION 2 Foo\nbar\n\x01"),
+        (1, 3): ("\x01x", "SECTION\n3 \x01x\n\x01SECTION 4 y"), (2, 1): ("a\x00b\x02\x01", "SECTION 1 a\x00b\x02\x01")}
+    assert got == sections(pages)
+
+
+def test_texts_are_scanned_once_for_lines_and_twice_for_sections(spark, tmp_path):
+    """What follows the scans works on written, narrower rows."""
+    spark.createDataFrame(make(5), "doc_id long, page_no int, text string").write.parquet(str(tmp_path / "pages"))
+    df = spark.read.parquet(str(tmp_path / "pages"))
+    for made in (sheets.extract_entities(sheets.mined_lines(df)), sheets.split_sections(df)):
+        assert str(tmp_path / "pages") not in made._jdf.queryExecution().toString()
