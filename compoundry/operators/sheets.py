@@ -90,24 +90,29 @@ def carry_section(pages: DataFrame, width: int | None = None) -> DataFrame:
     return s.select("doc_id", "page_no", "segment", "section", F.posexplode(_lines(F.col("text"))).alias("n", "line"))
 
 
-def mined_lines(pages: DataFrame, width: int | None = None) -> DataFrame:
+def mined_lines(pages: DataFrame, width: int | None = None, tagged: bool = True) -> DataFrame:
     """Lines that may hold a number, a code or a signal word, with section and position; others are dropped early.
 
-    Texts are read once: of each page its last section tag and the lines in question are written to the shared folder.
+    Without ``tagged`` the section is NULL and nothing crosses pages, which is enough for components.
+    Texts are read once: of each page the tags of its segments and the lines in question are written to the shared folder.
     What crosses pages is carried over these narrow rows and joined to the lines above the first tag of their page.
     """
-    text = F.col("text")
-    last_tag = F.upper(F.nullif(F.regexp_extract(text, _LAST_TAG, 1), F.lit("")))
-    segments = F.transform(_segments(text), lambda s, k: F.struct(k.alias("segment"), _segment_tag(s).alias("section"), F.filter(
-        F.transform(_lines(s), lambda line, n: F.struct(n.alias("n"), line.alias("line"))),
-        lambda x: x["line"].rlike(_ANY_HIT)).alias("lines")))
-    read = pages.filter(text != "").select(
-        "doc_id", "page_no", last_tag.alias("_tag"), F.filter(segments, lambda s: F.size(s["lines"]) > 0).alias("_segments"))
-    read = durable(read.filter("_tag is not null or size(_segments) > 0"), "hits")
+    if not tagged:
+        lines = pages.filter(F.col("text") != "").select("doc_id", "page_no", F.posexplode(_lines(F.col("text"))).alias("n", "line"))
+        return lines.filter(F.col("line").rlike(_ANY_HIT)).select(
+            "doc_id", "page_no", F.lit(None).cast("string").alias("section"), "line",
+            F.struct("page_no", F.lit(0).alias("segment"), "n").alias("pos"))
+    segments = F.transform(_segments(F.col("text")), lambda s, k: F.struct(
+        k.alias("segment"), _segment_tag(s).alias("section"),
+        F.filter(F.transform(_lines(s), lambda line, n: F.struct(n.alias("n"), line.alias("line"))),
+                 lambda x: x["line"].rlike(_ANY_HIT)).alias("lines")))
+    read = durable(pages.filter(F.col("text") != "").select("doc_id", "page_no", segments.alias("_segments")), "hits")
     hits = read.select("doc_id", "page_no", F.explode("_segments").alias("s")).select(
         "doc_id", "page_no", "s.segment", "s.section", F.explode("s.lines").alias("x")).select(
         "doc_id", "page_no", "section", "x.line", F.struct("page_no", "segment", "x.n").alias("pos"))
-    tags = read.select("doc_id", "page_no", "_tag", F.exists("_segments", lambda s: s["section"].isNull()).alias("_wants"))
+    first, last = F.element_at("_segments", 1), F.element_at("_segments", -1)
+    tags = read.select("doc_id", "page_no", last["section"].alias("_tag"), (
+        first["section"].isNull() & (F.size(first["lines"]) > 0)).alias("_wants"))
     carried = carry(tags, "doc_id", "page_no", "_tag", "_carried", **({"width": width} if width else {})).filter(
         "_wants and _carried is not null").select("doc_id", "page_no", "_carried")
     above = hits.filter("section is null").join(carried, ["doc_id", "page_no"], "left").withColumn("section", F.col("_carried"))
