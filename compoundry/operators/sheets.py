@@ -16,6 +16,7 @@ from ..functions.sheets import component_name, h_codes, p_codes, parse_concentra
 from ..functions.text import strip_ws
 from ..session import durable
 from .carry import RANGE, carry
+from .quality import check_range
 
 # A line that names a section; the number stands on the same line. The plain pattern knows the line
 # breaks of the regular expression engine; pages with rarer ones take the exact, slower pattern.
@@ -41,6 +42,7 @@ _HEADING_PARTS = "(?i)^" + P.WS + "*" + _HEAD + r"([^\n]+?)" + P.WS + r"*(?:\n|\
 # What the next written pages must show of themselves: a number of two digits, what follows it, one separator and one
 # visible character are within eight visible characters. With each run of white space as one blank, sixteen hold them.
 _VISIBLE, _NEXT_CHARS = 8, 16
+SECTION_RANGE = (1, 16)
 
 
 def _lines(text: Column) -> Column:
@@ -260,10 +262,14 @@ def section_pieces(pages: DataFrame, width: int | None = None) -> DataFrame:
 
 def split_sections(pages: DataFrame, width: int | None = None) -> DataFrame:
     """X05 + M11: sections 1..16 of each document; of a repeated heading the last text and last title stay."""
+    return sections_of(section_pieces(pages, width))
+
+
+def sections_of(pieces: DataFrame) -> DataFrame:
+    """X05 + M11 over ``section_pieces``."""
     pos = F.struct("page_no", "piece")
     return (
-        section_pieces(pages, width)
-        .filter(F.col("section_no").between(1, 16))
+        pieces.filter(F.col("section_no").between(*SECTION_RANGE))
         .groupBy("doc_id", "section_no")
         .agg(
             F.max_by(F.col("title"), F.when(F.col("title").isNotNull(), pos)).alias("title"),
@@ -272,6 +278,11 @@ def split_sections(pages: DataFrame, width: int | None = None) -> DataFrame:
     )
 
 
+def section_violations(pieces: DataFrame) -> DataFrame:
+    """C04 on ``section_pieces``: headings with a number outside 1..16, every one of them with its text."""
+    return check_range(pieces, "section_no", *SECTION_RANGE).select("doc_id", "page_no", "piece", "section_no", "title", "text")
+
+
 def section_pivot(docs: DataFrame, sections: DataFrame) -> DataFrame:
     """One column per section; documents without sections stay."""
     wide = sections.groupBy("doc_id").agg(

@@ -16,7 +16,12 @@ from ..operators import dispatch, families, fuzzy, predicates, registry, report,
 from ..operators import upsert as up
 from ..operators.quality import json_column_repair
 from ..session import durable
+from ..schemas import SCHEMAS, empty
 from ..sources import messages, staging
+from ..sources.versions import Versions
+
+#: What a stored page holds besides its key.
+PAGE_FACTS = ["has_text", "ocr_used", "ocr_conf", "text"]
 
 
 def stage(items_sheet: DataFrame, customers: DataFrame, sales: DataFrame, queries: DataFrame, item_id: Column) -> dict[str, DataFrame]:
@@ -128,8 +133,9 @@ def sds_mine(
     lines = durable(sheets.mined_lines(pages), "lines")
     entities = durable(sheets.extract_entities(lines), "entities")
     components = durable(sheets.extract_components(lines), "components")
-    hazards = sheets.extract_hazards(lines)
-    sections = sheets.split_sections(pages)
+    hazards = durable(sheets.extract_hazards(lines), "hazards")
+    pieces = durable(sheets.section_pieces(pages), "pieces")
+    sections = durable(sheets.sections_of(pieces), "sections")
     attached = durable(fuzzy.attach_products(docs, fuzzy.fuzzy_best(docs, items)), "documents")
     main = sheets.main_component(components)
     new_items = sheets.backfill_cas(items, attached, main)
@@ -154,9 +160,94 @@ def sds_mine(
         "sds_component": components,
         "sds_hazard": hazards,
         "sds_section": sections,
+        "section_violation": sheets.section_violations(pieces),
         "item_master_clean": new_items,
         "product_chem_xref": new_xref,
         "chemical_registry": new_registry,
         "summary": report.sds_summary(attached, entities, components, hazards, new_xref),
         "section_pivot": sheets.section_pivot(docs, sections),
     }
+
+
+def sds_update(store: Versions, docs: DataFrame, pages: DataFrame, items: DataFrame, now: Column) -> int:
+    """L5 over what arrives, on published tables (M09-M14): returns the version it publishes.
+
+    ``docs`` has ``doc_id``, ``product_id``, ``title``, ``filename``, ``file_sha256``, one row for each; ``pages`` has the
+    columns of ``sds_page``, one row for each page. Either may repeat what is stored: a page counts as changed where its
+    digest is new, and only documents with a changed page are mined. Their rows in the derived tables are replaced by
+    document; those of other documents stay. Pages are stored as they arrive, with the number of their run; which run's
+    row of a page holds is kept beside them (``sds_page_state``), so neither stored texts are copied, nor those of
+    unchanged documents read again. Of a changed document's unchanged pages only the runs that hold them are read.
+
+    Documents without product are matched again, as items may be new. Links and registry rows are added for documents
+    that changed or got their product in this run, and none is taken away. ``items`` gets no new numbers here; they are
+    derived from the published tables (``sheets.backfill_cas``).
+    """
+    spark, version = pages.sparkSession, store.current()
+    run = version + 1
+
+    def stored(name: str) -> DataFrame:
+        found = store.table(name, version)
+        return empty(spark, name) if found is None else found
+
+    digest = F.sha2(F.to_json(F.struct(*PAGE_FACTS), {"ignoreNullFields": "false"}), 256)
+    arrived = durable(pages.select("doc_id", "page_no", digest.alias("digest")), "digests")
+    state = stored("sds_page_state")
+    known = state.select("doc_id", "page_no", F.col("digest").alias("_digest"))
+    changed = durable(arrived.join(known, up.PAGE_KEYS, "left").filter(~F.col("digest").eqNullSafe(F.col("_digest"))).select(
+        "doc_id", "page_no", "digest"), "changed")
+    touched = durable(changed.select("doc_id").distinct(), "touched")
+    same = state.join(changed, up.PAGE_KEYS, "left_anti")
+    new_state = same.unionByName(changed.withColumn("run", F.lit(run)))
+
+    fresh = store.write("sds_page", pages.select(*up.PAGE_KEYS, *PAGE_FACTS).join(
+        changed.select(*up.PAGE_KEYS), up.PAGE_KEYS, "left_semi").withColumn("run", F.lit(run)))
+    wanted = durable(same.join(touched, "doc_id", "left_semi").select(*up.PAGE_KEYS, "run"), "wanted")
+    mined = store.read(fresh).select("doc_id", "page_no", "text")
+    folders = stored("sds_run").join(wanted.select("run").distinct(), "run", "left_semi").select("folder")
+    held = store.table("sds_page", version, [r["folder"] for r in folders.collect()])
+    if held is not None:
+        mined = mined.unionByName(held.join(wanted, [*up.PAGE_KEYS, "run"], "left_semi").select("doc_id", "page_no", "text"))
+    mined = durable(mined, "mined")
+
+    lines = durable(sheets.mined_lines(mined), "lines")
+    pieces = durable(sheets.section_pieces(mined), "pieces")
+    made = {
+        "sds_entity": sheets.extract_entities(lines),
+        "sds_component": sheets.extract_components(lines),
+        "sds_hazard": sheets.extract_hazards(lines),
+        "sds_section": sheets.sections_of(pieces),
+        "section_violation": sheets.section_violations(pieces),
+    }
+    derived = {}
+    for name, rows in made.items():
+        old = stored(name).join(touched, "doc_id", "left_anti")
+        derived[name] = store.write(name, old.unionByName(rows.select(*old.columns)))
+
+    before = stored("sds_document")
+    counted = sheets.page_count(new_state).withColumnRenamed("pages", "_pages")
+    merged = up.upsert(before, docs, up.DOCUMENT_KEYS, up.DOCUMENT_BY_DIGEST).join(counted, "doc_id", "left").withColumn(
+        "pages", F.coalesce("_pages", F.lit(0)).cast("int")).select(*before.columns)
+    merged = durable(merged, "documents")
+    best = fuzzy.fuzzy_best(merged.filter("product_id is null"), items)
+    attached = store.write("sds_document", fuzzy.attach_products(merged, best))
+
+    now_owned = store.read(attached)
+    earlier = before.filter("product_id is not null").select("doc_id")
+    linked = touched.unionByName(now_owned.filter("product_id is not null").select("doc_id").join(earlier, "doc_id", "left_anti")).distinct()
+    found = durable(store.read(derived["sds_entity"]).join(linked, "doc_id", "left_semi"), "found")
+    links = up.upsert(
+        stored("product_chem_xref"), registry.xref_from_documents(now_owned, found), up.XREF_KEYS, up.XREF_FROM_DOCUMENTS, now, delta=True)
+    numbers = registry.registry_for_numbers(found).withColumn("created_at", now).withColumn("updated_at", now)
+    chemicals = store.write("chemical_registry", up.insert_only(stored("chemical_registry"), numbers, up.REGISTRY_KEYS))
+    xref = registry.link_registry(durable(links, "links"), store.read(chemicals), "cas", now)
+    runs = spark.createDataFrame([(run, f) for f in fresh["folders"]], SCHEMAS["sds_run"])
+    return store.publish(
+        {**derived, "sds_document": attached, "sds_page_state": new_state, "product_chem_xref": xref, "chemical_registry": chemicals},
+        {"sds_page": fresh, "sds_run": runs}, based_on=version)
+
+
+def current_pages(store: Versions, version: int | None = None) -> DataFrame:
+    """The pages of a published version, without those that later runs replaced."""
+    pages, state = store.table("sds_page", version), store.table("sds_page_state", version)
+    return pages.join(state.select(*up.PAGE_KEYS, "run"), [*up.PAGE_KEYS, "run"], "left_semi").drop("run")

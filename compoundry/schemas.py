@@ -27,6 +27,9 @@ SCHEMAS: dict[str, str] = {
     "molecular_formula string, molecular_weight decimal(18,6), canonical_smiles string, inchi string, inchikey string",
     "sds_document": "doc_id bigint, product_id bigint, title string, filename string, file_sha256 string, pages int",
     "sds_page": "doc_id bigint, page_no int, has_text boolean, ocr_used boolean, ocr_conf double, text string",
+    "sds_page_state": "doc_id bigint, page_no int, digest string, run int",
+    "sds_run": "run int, folder string",
+    "section_violation": "doc_id bigint, page_no int, piece int, section_no int, title string, text string",
     "sds_section": "doc_id bigint, section_no int, title string, text string",
     "sds_entity": "doc_id bigint, page_no int, section string, entity_type string, value string, norm_value string",
     "sds_component": "doc_id bigint, page_no int, name string, cas string, cas_norm string, name_key string, "
