@@ -19,16 +19,19 @@ from .fixtures import NOW, ORACLES, RELATIONS, _expand
 _RUNS: dict[tuple[str, str], str] = {}
 
 
-def _stream(t):
-    """The event table as a stream of files."""
+def _stream(t, files=1):
+    """The event table as a stream of files; with several ``files`` it comes in as many micro-batches."""
     source = {"format": "parquet", "path": t.dir, "pathGlobFilter": "events.parquet", "maxFilesPerTrigger": "1"}
+    if files > 1:
+        source = {"format": "parquet", "path": scratch_path(t.spark, "events"), "maxFilesPerTrigger": "1"}
+        t.events.repartitionByRange(files, "event_id").write.parquet(source["path"])
     return messages.request_stream(t.spark, source, schema=t.events.schema)
 
 
-def _requests(t):
+def _requests(t, files=1):
     """The request messages of ``fx_requests``, derived from the event stream."""
     view = "events_" + uuid.uuid4().hex
-    _stream(t).createOrReplaceTempView(view)
+    _stream(t, files).createOrReplaceTempView(view)
     body = RELATIONS["fx_requests"].replace("{events}", view)
     return t.spark.sql(_expand(body, "spark", t.dir))
 
@@ -43,8 +46,8 @@ def run_once(t):
     return _RUNS[key]
 
 
-def _run(t, out):
-    q = worker.run_worker(_requests(t), reference_index(t), out, out + "-checkpoint", order="msg_no", now=now())
+def _run(t, out, requests=None):
+    q = worker.run_worker(requests or _requests(t), reference_index(t), out, out + "-checkpoint", order="msg_no", now=now())
     q.awaitTermination()
 
 
@@ -113,10 +116,11 @@ def _(t):
 
 @entry("T06_progress", "select key, query, cast(cid as varchar) cid from o_routed where error is null")
 def _(t):
-    # run twice from one checkpoint: the second run finds nothing to do
+    # three micro-batches, run twice from one checkpoint: the second run finds nothing to do
     out = scratch_path(t.spark, "worker")
-    _run(t, out)
-    _run(t, out)
+    requests = _requests(t, files=3)
+    _run(t, out, requests)
+    _run(t, out, requests)
     return worker.read_log(t.spark, out, "results").select(
         "key", F.get_json_object("value", "$.query").alias("query"), F.get_json_object("value", "$.cid").alias("cid")
     )

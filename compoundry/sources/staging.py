@@ -12,20 +12,24 @@ from ..functions.jsons import json_text, row_json
 from ..functions.text import first_non_empty
 
 
-def read_text_table(spark: SparkSession, path: str, columns: list[str], multi_line: bool = False) -> DataFrame:
+def read_text_table(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """A CSV file or folder as text columns. Columns are matched by the header of each file, absent ones are NULL.
 
-    Files with the same header line are read together; only names and header lines reach the driver. Large files are
-    split between tasks unless ``multi_line`` allows line breaks inside values.
+    Files with the same header line are read together; only names and header lines reach the driver. A value may hold line
+    breaks: a file with a line of unpaired quotes, which every such value begins with, is read by one task, all others are
+    split between tasks.
     """
     lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    first = lines.withColumn("line", F.monotonically_increasing_id()).filter("file_block_start = 0")
-    heads = first.groupBy("file_path").agg(F.min_by("value", "line").alias("head"))
-    groups: dict[str, list[str]] = {}
+    first = F.when(F.col("file_block_start") == 0, F.monotonically_increasing_id())
+    unpaired = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2 == 1
+    heads = lines.select("file_path", "value", first.alias("line"), unpaired.alias("unpaired")).groupBy("file_path").agg(
+        F.min_by("value", "line").alias("head"), F.max("unpaired").alias("broken"), F.min_by("unpaired", "line").alias("open"))
+    groups: dict[tuple, list[str]] = {}
     for r in heads.orderBy("file_path").collect():
-        groups.setdefault(r["head"], []).append(r["file_path"])
-    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"').option("inferSchema", False)
-    parts = [reader.csv(files) for files in groups.values()]
+        # a header that goes on in the next line is known in full by its own file only
+        groups.setdefault((r["broken"], r["head"], r["file_path"] if r["open"] else None), []).append(r["file_path"])
+    reader = spark.read.option("header", True).option("escape", '"').option("inferSchema", False)
+    parts = [reader.option("multiLine", broken).csv(files) for (broken, _, _), files in groups.items()]
     if not parts:
         names = columns or P.RESULT_COLUMNS
         return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in names))

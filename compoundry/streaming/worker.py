@@ -158,12 +158,13 @@ def read_log(spark: SparkSession, out: str, table: str) -> DataFrame:
 
 
 def _folders(spark: SparkSession, path: str, prefix: str) -> dict[int, object]:
-    """The numbered folders (``prefix=number``) of a path, by number; none where the path doesn't exist."""
+    """The numbered folders (``prefix=number``) of a path that are complete, by number; none where the path doesn't exist."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(root):
         return {}
     found = [f.getPath() for f in fs.listStatus(root) if f.getPath().getName().startswith(prefix + "=")]
+    found = [f for f in found if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))]
     return {int(f.getName().split("=")[1]): f for f in found}
 
 
@@ -181,21 +182,40 @@ def latest(spark: SparkSession, out: str, table: str, keys: list[str], order: st
 
 
 def fold(spark: SparkSession, out: str, table: str, keys: list[str], order: str | None = None) -> None:
-    """Write the table of a change log as one state, and drop the batches and states it replaces.
+    """Write the table of a change log as one state, and drop what the fold before it had replaced.
 
-    To be run between batches. The state is complete before anything is dropped, so a run that is cut off can simply be
-    repeated.
+    To be run between batches. A state is complete before it counts, so a run that is cut off can simply be repeated. What
+    this fold replaces stays until the next one, so that a reader that was opened before can finish.
     """
-    batches = _folders(spark, f"{out}/{table}", "batch")
-    if not batches:
+    batches, states = _folders(spark, f"{out}/{table}", "batch"), _folders(spark, f"{out}/{table}_state", "batch")
+    before = max(states, default=-1)
+    newest = max(batches, default=-1)
+    if newest <= before:
         return
-    newest = max(batches)
     latest(spark, out, table, keys, order).write.mode("overwrite").parquet(f"{out}/{table}_state/batch={newest}")
-    old = [f for f in batches.values()] + [f for n, f in _folders(spark, f"{out}/{table}_state", "batch").items() if n < newest]
+    old = [f for n, f in batches.items() if n <= before] + [f for n, f in states.items() if n < before]
     for folder in old:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def once(sink: Sink, ledger: str) -> Sink:
+    """``sink`` with a ledger of the batches it has taken, for sinks that can't overwrite.
+
+    A batch that is replayed because the run ended between the sink and the checkpoint adds nothing. Only a run that
+    ends between the sink's own end and the entry in the ledger gives a batch twice. ``ledger`` is a folder that the
+    driver sees again after a restart; it gets one empty file for every output and batch.
+    """
+    def send(df: DataFrame, name: str, batch_id: int) -> None:
+        spark = df.sparkSession
+        entry = spark._jvm.org.apache.hadoop.fs.Path(f"{ledger}/{name}/{batch_id}")
+        fs = entry.getFileSystem(spark._jsc.hadoopConfiguration())
+        if not fs.exists(entry):
+            sink(df, name, batch_id)
+            fs.create(entry, False).close()
+
+    return send
+
+
 def activity_stream(events: DataFrame, kind: str, ts: str, window: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
     """Counts per kind and event-time window; rows later than ``late`` are left to the watermark."""
     return (

@@ -89,3 +89,13 @@ def test_integrity_checks_use_three_valued_logic(spark):
     assert [r.id for r in quality.check_non_blank(df, "name").collect()] == [2]
     dup = spark.createDataFrame([(1, None), (1, None), (2, "x"), (2, "x")], "id int, k string")
     assert [r.id for r in quality.check_unique(dup, ["id", "k"]).collect()] == [2]
+
+
+def test_values_with_line_breaks_are_one_value(spark, tmp_path):
+    """Also in a header, and beside files that are read in parts."""
+    (tmp_path / "a.csv").write_text('query_name,Synonyms,CID\nethanol,"a\nb ""c""\n\nd",702\nwater,"x, y",962\n')
+    (tmp_path / "b.csv").write_text('query_name,Synonyms,CID\nacetone,z,180\npipe 5",q,1\n')
+    (tmp_path / "c.csv").write_text('query_name,"Syn\nonyms",CID\nbenzene,w,241\n')
+    got = {r.query_name: (r.Synonyms, r.CID) for r in staging.read_compound_results(spark, str(tmp_path)).collect()}
+    assert got == {"ethanol": ('a\nb "c"\n\nd', "702"), "water": ("x, y", "962"), "acetone": ("z", "180"),
+                   'pipe 5"': ("q", "1"), "benzene": (None, "241")}

@@ -100,16 +100,75 @@ def test_fold_keeps_what_latest_shows(spark, tmp_path):
     batch(0, [("a", 1), ("b", 1)])
     batch(1, [("b", 2), ("c", 2)])
     before = now()
+    reader = worker.latest(spark, out, "t", ["k"]).select("k", "v")
     worker.fold(spark, out, "t", ["k"])
     assert now() == before == [("a", 1), ("b", 2), ("c", 2)]
+    assert sorted(map(tuple, reader.collect())) == before  # opened before the fold
     batch(2, [("a", 3)])
     assert now() == [("a", 3), ("b", 2), ("c", 2)]
+    reader = worker.latest(spark, out, "t", ["k"]).select("k", "v")
     worker.fold(spark, out, "t", ["k"])
+    assert now() == [("a", 3), ("b", 2), ("c", 2)] == sorted(map(tuple, reader.collect()))
+    assert {p.name for p in (tmp_path / "t").iterdir()} == {"batch=2"}
+    worker.fold(spark, out, "t", ["k"])  # nothing new
+    (tmp_path / "t_state" / "batch=7").mkdir()  # of a fold that was cut off
     assert now() == [("a", 3), ("b", 2), ("c", 2)]
-    assert [p.name for p in (tmp_path / "t_state").iterdir()] == ["batch=2"]
 
 
 def test_worker_order_and_sink(spark, tmp_path):
     df = spark.createDataFrame([(1, 2, 3)], "offset long, partition int, timestamp long")
     assert df.select(worker.ordered_by(df, worker.ORDER).alias("o")).first().o == (3, 2, 1)
     assert df.select(worker.ordered_by(df, "offset").alias("o")).first().o == 1
+
+
+def test_append_only_sink_gets_a_replayed_batch_once(spark, tmp_path):
+    """The run ends between sink and checkpoint; the batch comes again and adds nothing."""
+    path, out, sent = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "sent")
+    feed(spark, path, REQUESTS)
+    feed(spark, path, [("x", '{"query":"acetone"}')], start=50)
+
+    def append(df, name, batch_id):
+        df.write.mode("append").parquet(f"{sent}/{name}")
+
+    def work(sink):
+        s = messages.request_stream(spark, {"format": "parquet", "path": path, "maxFilesPerTrigger": "1"}, "offset long, key string, value string")
+        worker.run_worker(s, index(spark), out, out + "-cp", now=F.lit("2024-01-01").cast("timestamp"), sink=sink).awaitTermination()
+
+    safe = worker.once(append, str(tmp_path / "ledger"))
+
+    def lost(df, name, batch_id):
+        safe(df, name, batch_id)
+        if name == "dead_letters" and batch_id == 1:
+            raise RuntimeError("the run ends here")
+
+    try:
+        work(lost)
+    except Exception as error:
+        assert "the run ends here" in str(error)
+    assert len(list((tmp_path / "out-cp" / "commits").glob("[0-9]*"))) == 1  # the second batch isn't committed
+    work(safe)
+    work(safe)
+    got = sorted(r.key for t in ("results", "dead_letters") for r in spark.read.parquet(f"{sent}/{t}").collect())
+    assert got == sorted([k for k, _ in REQUESTS] + ["x"])
+
+
+def test_requests_are_deduplicated_across_batches_and_restarts(spark, tmp_path):
+    path, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def feed_at(second, *keys):
+        rows = [(f"2024-01-01 00:00:{second:02d}", k, f"{k}{second}") for k in keys]
+        spark.createDataFrame(rows, "ts string, key string, value string").selectExpr(
+            "cast(ts as timestamp) ts", "key", "value").coalesce(1).write.mode("append").parquet(path)
+
+    def work():
+        s = messages.request_stream(spark, {"format": "parquet", "path": path, "maxFilesPerTrigger": "1"}, "ts timestamp, key string, value string")
+        q = dedupe_requests(s.withWatermark("ts", "1 hour")).writeStream.format("parquet").option("checkpointLocation", out + "-cp")
+        q.trigger(availableNow=True).start(out).awaitTermination()
+
+    feed_at(1, "a", "b", "a")
+    feed_at(2, "a", "c")
+    feed_at(3, "b", "d")
+    work()
+    feed_at(4, "a", "d", "e")
+    work()
+    assert sorted(r.key for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d", "e"]
