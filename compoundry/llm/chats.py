@@ -21,17 +21,24 @@ Schema = Mapping[str, Mapping[str, tuple[tuple[str, ...], bool]]]
 STRING, WHOLE, NUMBER, TRUTH = ("STRING",), ("BIGINT",), ("BIGINT", "DOUBLE", "DECIMAL"), ("BOOLEAN",)
 
 
+def keyed_left_join(rows: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
+    """A left join in which rows with a null key are not shuffled (they would all go to one task)."""
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in other.schema.fields]
+    found = rows.filter(F.col(key).isNotNull()).join(other, F.col(key) == F.col(other_key), "left")
+    return found.unionByName(rows.filter(F.col(key).isNull()).select("*", *none))
+
+
 def depths(calls: DataFrame) -> DataFrame:
     """(``id``, ``depth``) of calls (``id`` once each, ``after``): 0 without a known predecessor, null in a cycle."""
     known = calls.select(F.col("id").alias("_known"))
-    now = calls.join(known, calls["after"] == known["_known"], "left").select(
+    now = keyed_left_join(calls, "after", known, "_known").select(
         "id", F.col("_known").alias("to"), F.when(F.col("_known").isNotNull(), 1).otherwise(0).cast("long").alias("depth"))
     now = durable(now, "depths")
     open_ = now.filter("to is not null").count()
     rounds = open_.bit_length() + 1  # a chain without a cycle is no longer than its calls
     while open_ and rounds:
         far = now.select(F.col("id").alias("_id"), F.col("to").alias("_to"), F.col("depth").alias("_depth"))
-        now = durable(now.join(far, now["to"] == far["_id"], "left").select(
+        now = durable(keyed_left_join(now, "to", far, "_id").select(
             "id", F.col("_to").alias("to"), (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth")), "depths")
         open_, rounds = now.filter("to is not null").count(), rounds - 1
     return now.select("id", F.when(F.col("to").isNull(), F.col("depth")).alias("depth"))
@@ -72,15 +79,15 @@ def link(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
     depth = depths(nodes.select(F.col("call_id").alias("id"), F.col("_first.after").alias("after")))
     depth = depth.select(F.col("id").alias("_id"), "depth", F.lit(True).alias("_there"))
     answered = results.filter("call_id is not null").select(F.col("call_id").alias("_answer")).distinct()
-    a = calls.join(depth, calls["call_id"] == depth["_id"], "left").join(
-        answered, calls["call_id"] == F.col("_answer"), "left").withColumn("_args", F.try_parse_json("arguments"))
+    a = keyed_left_join(keyed_left_join(calls, "call_id", depth, "_id"), "call_id", answered, "_answer").withColumn(
+        "_args", F.try_parse_json("arguments"))
     a = a.withColumn("faults", faults(F.col("name"), F.col("_args"), schema))
     made = a.select(
         "conv_id", "turn", F.lit("call").alias("kind"), "call_id",
         F.when(F.col("call_id").isNull(), 0).otherwise(2 * F.col("depth")).alias("level"),
         F.col("_answer").isNotNull().alias("linked"), "faults",
         F.to_json(F.struct(F.col("_args").alias("arguments"), F.col("call_id").alias("id"), "name", F.lit("call").alias("type"))).alias("json"))
-    b = results.join(depth, results["call_id"] == depth["_id"], "left")
+    b = keyed_left_join(results, "call_id", depth, "_id")
     given = b.select(
         "conv_id", "turn", F.lit("result").alias("kind"), "call_id",
         F.when(F.col("_there"), 2 * F.col("depth") + 1).otherwise(1).alias("level"),
@@ -88,3 +95,15 @@ def link(calls: DataFrame, results: DataFrame, schema: Schema) -> DataFrame:
         F.when(F.col("_there"), F.array().cast("array<string>")).otherwise(F.array(F.lit("no call"))).alias("faults"),
         F.to_json(F.struct("content", F.col("call_id").alias("id"), F.lit("result").alias("type"))).alias("json"))
     return made.unionByName(given)
+
+
+def messages(turns: DataFrame) -> DataFrame:
+    """Turns that are neither call nor result (``conv_id, turn, role, content``) as rows like those of ``link``.
+
+    They hang on nothing: ``level`` 0, so that ``turn`` places them. Null roles and contents are left out of the JSON,
+    empty ones and repeated rows stay, texts of any length stay whole. Other columns are not read.
+    """
+    return turns.select(
+        "conv_id", "turn", F.lit("message").alias("kind"), F.lit(None).cast("string").alias("call_id"),
+        F.lit(0).cast("long").alias("level"), F.lit(False).alias("linked"), F.array().cast("array<string>").alias("faults"),
+        F.to_json(F.struct("content", "role", F.lit("message").alias("type"))).alias("json"))

@@ -187,7 +187,8 @@ TOOLS = {
 @query
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations read as tool use: a user's turn is a call, which uses the result of the user's turn before it;
-    the assistant's turn that follows is its result. Arguments hang on the text, so that some break the schema."""
+    the assistant's turn that follows is its result; a turn of any other role is a message. Arguments hang on the text,
+    so that some break the schema."""
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     n, own = F.length("text"), F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     calls = said.filter("role = 'user'").select(
@@ -200,7 +201,9 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     results = said.filter("role = 'assistant'").select(
         "conv_id", "turn", F.concat_ws("-", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string")).alias("call_id"),
         F.col("text").alias("content"))
-    linked = chats.link(calls, results, TOOLS)
+    others = said.filter("role is null or role not in ('user', 'assistant')").select(
+        "conv_id", "turn", "role", F.col("text").alias("content"))
+    linked = chats.link(calls, results, TOOLS).unionByName(chats.messages(others))
     return linked.withColumn("faults", F.array_join("faults", ","))
 
 
@@ -229,6 +232,11 @@ select conv_id, turn, 'result', call_id, coalesce(2 * depth::bigint + 1, 1), dep
        case when depth is null then 'no call' else '' end,
        '{"content":' || to_json(text) || ',"id":' || to_json(call_id) || ',"type":"result"}'
 from r left join l using (call_id)
+union all
+select conv_id, turn, 'message', null, 0, false, '',
+       '{' || case when text is null then '' else '"content":' || to_json(text) || ',' end
+           || case when role is null then '' else '"role":' || to_json(role) || ',' end || '"type":"message"}'
+from s where role is null or role not in ('user', 'assistant')
 """
 
 

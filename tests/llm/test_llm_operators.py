@@ -543,3 +543,28 @@ def test_depths_of_long_chains(spark):
     n = 300
     calls = spark.createDataFrame([(f"k{i:04d}", f"k{i - 1:04d}" if i else None) for i in range(n)], "id string, after string")
     assert {r.id: r.depth for r in chats.depths(calls).collect()} == {f"k{i:04d}": i for i in range(n)}
+
+
+def test_every_turn_of_a_conversation_is_a_row(spark, tmp_path):
+    """Of any role, with nulls, empty and very long texts, and repeated; null identifiers are not joined."""
+    from compoundry.llm import queries
+
+    turns = [(1, 0, "system", "be brief"), (1, 1, "user", "find it"), (1, 2, "assistant", "found"), (1, 3, "tool", None), (1, 4, None, ""),
+             (1, 4, None, ""), (2, 0, "user", LONG), (2, 1, "system", LONG), (3, 0, "assistant", "alone"), (None, None, "user", None),
+             (None, 0, "system", "x")]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    rows = queries.op10_chat_format(spark, str(tmp_path)).collect()
+    assert len(rows) == len(turns)
+    told = sorted(r.json for r in rows if r.kind == "message")
+    assert told == sorted([
+        '{"content":"be brief","role":"system","type":"message"}', '{"role":"tool","type":"message"}', '{"content":"","type":"message"}',
+        '{"content":"","type":"message"}', '{"content":"%s","role":"system","type":"message"}' % LONG,
+        '{"content":"x","role":"system","type":"message"}'])
+    assert {(r.level, r.linked, r.faults, r.call_id) for r in rows if r.kind == "message"} == {(0, False, "", None)}
+
+
+def test_null_keys_are_left_out_of_joins(spark):
+    left = spark.createDataFrame([(1, "a"), (2, None), (3, "z"), (4, None)], "n int, k string")
+    right = spark.createDataFrame([("a", 5), (None, 6)], "key string, v int")
+    got = sorted(((r.n, r.k, r.key, r.v) for r in chats.keyed_left_join(left, "k", right, "key").collect()))
+    assert got == [(1, "a", "a", 5), (2, None, None, None), (3, "z", None, None), (4, None, None, None)]
