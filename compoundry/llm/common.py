@@ -9,9 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import durable
+from ..session import discard, durable
 
-__all__ = ["documents", "durable", "map_batches", "table", "ascii_lower", "ROWS_PER_BATCH", "BYTES_PER_BATCH"]
+__all__ = ["discard", "documents", "durable", "map_batches", "may_match", "table", "ascii_lower", "ROWS_PER_BATCH", "BYTES_PER_BATCH"]
 
 #: An Arrow batch given to Python holds at most so many rows, and about so many bytes.
 ROWS_PER_BATCH = 1_000
@@ -71,6 +71,30 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+#: Bits of a prefilter: so many eighths of bytes are broadcast, whatever the size of the tables.
+FILTER_BITS = 1 << 26
+_BITS_A_ROW = 1 << 15  # of the bitmap functions
+
+
+def may_match(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """The rows whose 64-bit ``key`` may be among the wanted ones: all that are, and few others.
+
+    The wanted keys become a bitmap of FILTER_BITS bits by a partial aggregation, which is broadcast; so of a large
+    table with few wanted rows only these are shuffled by the join that follows. Where the wanted keys are as many as
+    the bits, most rows pass, and that join does all the work.
+    """
+    def place(k: Column) -> Column:
+        return F.pmod(k, F.lit(FILTER_BITS)) + 1
+
+    bits = wanted.select(place(wanted_key).alias("k")).groupBy(F.bitmap_bucket_number("k").alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("k")).alias("_bits"))
+    marked = rows.withColumn("_place", place(key))
+    at = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = marked.withColumn("_part", F.bitmap_bucket_number("_place")).join(F.broadcast(bits), "_part")
+    return held.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
+
+
 def strings(batch: pa.RecordBatch, name: str) -> list[str]:
     """A text column as a list, null as the empty text."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import discard, durable
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -36,7 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
         state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if state[0] == 0 or state == seen:
             break
-        seen = state
+        seen, before = state, now
         now = durable(_small(_large(now)), "stars")
+        discard(before)
     roots = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(roots.select("root", "root").distinct())

@@ -175,9 +175,10 @@ def whole(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
 
     Links are not counted: of two near copies that others have joined already the pair is not made.
     """
-    prints = in_order(docs, doc_id, text, hashed=True)
+    # before the texts are dealt out, so that the room of its shuffles is free by then
     near = minmax.linked(docs, doc_id, text, percent, bands).filter("n_class > 1").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "component_id", "n_class").distinct()
+    prints = in_order(docs, doc_id, text, hashed=True)
     out = prints.join(near, prints["doc_id"].eqNullSafe(near["_id"]) & (prints["text_hash"] == near["_hash"]), "left")
     return out.select(
         *[c for c in prints.columns if c != "text_hash"],

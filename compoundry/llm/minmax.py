@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable, map_batches, strings
+from .common import discard, durable, map_batches, may_match, strings
 from .components import components
 from .shingles import U, constants, least_and_most, shingle_set
 
@@ -64,6 +64,7 @@ def signed(docs: DataFrame, doc_id: str, text: str, bands: Callable[[np.ndarray]
 def full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``set_key`` and ``shingles`` of the wanted rows (``rep``, ``text_hash``, ``set_key``): one row for each set."""
     rows = docs.select(F.col(doc_id).alias("rep"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    rows = may_match(rows, F.xxhash64("rep", "text_hash"), wanted, F.xxhash64("rep", "text_hash"))
     chosen = rows.join(wanted, rows["rep"].eqNullSafe(wanted["rep"]) & (rows["text_hash"] == wanted["text_hash"])).select(
         "set_key", "text")
 
@@ -74,10 +75,11 @@ def full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Dat
 
 
 def own_shingles(sets: DataFrame) -> DataFrame:
-    """``set_key`` and ``own``: how many of a set's shingles no other of these sets has."""
-    each = sets.select("set_key", F.explode("shingles").alias("h"))
-    single = each.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("set_key").alias("set_key")).filter("c = 1")
-    return single.groupBy("set_key").agg(F.count(F.lit(1)).alias("own"))
+    """``set_key`` and ``own``: how many of a set's shingles no other of these sets has. Sets have a ``number`` each."""
+    each = sets.select("number", F.explode("shingles").alias("h"))
+    single = each.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.min("number").alias("number")).filter("c = 1")
+    return single.groupBy("number").agg(F.count(F.lit(1)).alias("own")).join(
+        sets.select("number", "set_key"), "number").select("set_key", "own")
 
 
 def with_own(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -115,17 +117,24 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"),
         F.min(F.struct("doc_id", "text_hash")).alias("source"), F.first("bands").alias("bands"))
     nodes = durable(nodes, "nodes")
-    each = nodes.select("set_key", "n", F.posexplode("bands").alias("band", "bucket"))
-    hubs = each.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("band", "bucket")
-    found = durable(each.join(hubs, ["band", "bucket"]), "members")
+    # Buckets by their hash first: of all band values only those that occur twice are joined with their sets.
+    each = nodes.select("set_key", F.posexplode("bands").alias("band", "bucket"))
+    hubs = each.groupBy(F.xxhash64("band", "bucket").alias("place")).agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    hubs = durable(hubs.select("place"), "hubs")
+    near = may_match(each.withColumn("place", F.xxhash64("band", "bucket")), F.col("place"), hubs, F.col("place"))
+    found = durable(near.join(hubs, "place", "left_semi").drop("place"), "members")
+    discard(hubs)
     # The candidates' full sets, and what of them no other candidate has; once more among those that are left.
-    wanted = found.select("set_key").distinct().join(nodes, "set_key").select(
+    asked = found.select("set_key").distinct()
+    wanted = may_match(nodes, F.xxhash64("set_key"), asked, F.xxhash64("set_key")).join(asked, "set_key", "left_semi").select(
         "set_key", F.col("source.doc_id").alias("rep"), F.col("source.text_hash").alias("text_hash"), "n", "bands")
     wanted = durable(wanted, "wanted")
-    sets = durable(full_sets(docs, wanted.select("rep", "text_hash", "set_key"), doc_id, text), "sets")
-    alive = durable(with_own(wanted.select("set_key", "n", "bands"), sets, percent), "alive")
-    alive = durable(with_own(alive, sets.join(alive.select("set_key"), "set_key", "left_semi"), percent), "alive")
+    sets = full_sets(docs, wanted.select("rep", "text_hash", "set_key"), doc_id, text)
+    sets = durable(sets.withColumn("number", F.monotonically_increasing_id()), "sets")
+    first = durable(with_own(wanted.select("set_key", "n", "bands"), sets, percent), "alive")
+    alive = durable(with_own(first, sets.join(first.select("set_key"), "set_key", "left_semi"), percent), "alive")
     members = durable(found.select("band", "bucket", "set_key").join(alive.select("set_key", "n", "own"), "set_key"), "members")
+    discard(found, wanted, first)
     # Each member against its hub, the one with the least share of its own.
     best = members.groupBy("band", "bucket").agg(
         F.min(F.struct((F.col("own") / F.col("n")).alias("share"), "set_key", "n", "own")).alias("hub"))
@@ -150,6 +159,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
     more = durable(confirmed(rest.select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")), sets, percent), "links")
     if not more.isEmpty():
         roots = durable(components(links.union(more)), "roots")
+    discard(sets, alive, members, left, links, more)
     # Least id of each component; sets with one copy and no link need no entry.
     full = nodes.select("set_key", "rep", "copies").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
     least = full.filter("root is not null").groupBy("root").agg(
@@ -158,5 +168,8 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
         F.col("set_key"), F.coalesce("least", "rep").alias("least"), F.coalesce("n_class", "copies").alias("n_class"))
     out = rows.select("doc_id", "text_hash", "n_shingles", "set_key").join(label, "set_key", "left")
     component = F.coalesce("least", "doc_id")
-    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("n_class", F.lit(1)).alias("n_class"))
+    out = durable(out.select(
+        "doc_id", "text_hash", "n_shingles", component.alias("component_id"),
+        F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("n_class", F.lit(1)).alias("n_class")), "linked")
+    discard(rows, nodes, roots)
+    return out
