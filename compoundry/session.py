@@ -55,4 +55,20 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*frames: DataFrame) -> None:
+    """Remove what ``durable`` wrote, and have Spark drop shuffles nobody refers to.
+
+    Only frames that ``durable`` returned itself can be given, and none that is read later, also by a result that isn't
+    computed yet.
+    """
+    for frame in frames:
+        jvm = frame.sparkSession._jvm
+        path = jvm.org.apache.hadoop.fs.Path(frame._scratch)
+        path.getFileSystem(frame.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    if frames:
+        frames[0].sparkSession._jvm.System.gc()  # shuffle files go when the plans that made them are collected
