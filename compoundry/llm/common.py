@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import discard, durable
 
-__all__ = ["discard", "documents", "durable", "map_batches", "may_match", "table", "ascii_lower", "ROWS_PER_BATCH", "BYTES_PER_BATCH"]
+__all__ = ["discard", "documents", "durable", "flagged", "map_batches", "may_match", "table", "ascii_lower", "ROWS_PER_BATCH", "BYTES_PER_BATCH"]
 
 #: An Arrow batch given to Python holds at most so many rows, and about so many bytes.
 ROWS_PER_BATCH = 1_000
@@ -76,8 +76,8 @@ FILTER_BITS = 1 << 26
 _BITS_A_ROW = 1 << 15  # of the bitmap functions
 
 
-def may_match(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
-    """The rows whose 64-bit ``key`` may be among the wanted ones: all that are, and few others.
+def flagged(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """``rows`` with ``_may``: whether the 64-bit ``key`` may be among the wanted ones. True for all that are, and a few others.
 
     The wanted keys become a bitmap of FILTER_BITS bits by a partial aggregation, which is broadcast; so of a large
     table with few wanted rows only these are shuffled by the join that follows. Where the wanted keys are as many as
@@ -88,11 +88,16 @@ def may_match(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Colum
 
     bits = wanted.select(place(wanted_key).alias("k")).groupBy(F.bitmap_bucket_number("k").alias("_part")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("k")).alias("_bits"))
-    marked = rows.withColumn("_place", place(key))
     at = F.bitmap_bit_position("_place")
     byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    held = marked.withColumn("_part", F.bitmap_bucket_number("_place")).join(F.broadcast(bits), "_part")
-    return held.filter(F.getbit(byte, (at % 8).cast("int")) == 1).select(*rows.columns)
+    marked = rows.withColumn("_place", place(key)).withColumn("_part", F.bitmap_bucket_number("_place"))
+    held = marked.join(F.broadcast(bits), "_part", "left")
+    return held.select(*rows.columns, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False)).alias("_may"))
+
+
+def may_match(rows: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column) -> DataFrame:
+    """The rows that ``flagged`` flags."""
+    return flagged(rows, key, wanted, wanted_key).filter("_may").drop("_may")
 
 
 def strings(batch: pa.RecordBatch, name: str) -> list[str]:

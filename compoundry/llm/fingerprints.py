@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import minmax
+from .common import flagged
 from .shingles import U, constants, mix, word_hashes
 
 SHINGLE = 5
@@ -97,19 +98,19 @@ def compare(text: str, after: str) -> tuple[np.ndarray, np.ndarray, str]:
 
 
 def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts: int | None = None,
-             hashed: bool = False) -> DataFrame:
+             carried: tuple[str, ...] = ()) -> DataFrame:
     """For every row ``doc_id``, ``n_chars``, ``edited_sha256``, ``fingerprint``, ``edited_fingerprint``,
     ``near_edited`` and ``near_next``; the next document is the one of the next smaller id, after the last the first.
 
     Null texts count as empty; rows with a null id come last, rows of one id by text; a single row is its own next.
     Texts are dealt out once, by ranges of ids; the first row of a range goes to the range before it too. Only the
-    bounds and the greatest id of each range reach the driver, as many as there are partitions. With ``hashed`` the
-    column ``text_hash`` comes last.
+    bounds and the greatest id of each range reach the driver, as many as there are partitions. Columns ``carried`` stay
+    with their row and come last.
     """
     spark = docs.sparkSession
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.xxhash64(text).alias("text_hash"),
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), F.struct(*carried, F.lit(0).alias("_")).alias("carried"),
                        F.coalesce(F.col(doc_id).cast("long"), F.lit(LEAST)).alias("key"))
     bounds = sorted(set(map(int, rows.select("key").approxQuantile(
         "key", [k / parts for k in range(1, parts)], 0.2 / parts)))) if parts > 1 else []
@@ -121,18 +122,19 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts:
     guests = [(top, tops[(k + 1) % len(tops)][0]) for k, (_, top) in enumerate(tops)]
     hosts = F.broadcast(spark.createDataFrame(guests, "key long, host int"))
     visiting = rows.join(hosts, "key", "left")
-    both = visiting.select("doc_id", "text", "text_hash", "key", F.explode(F.when(F.col("host").isNull(), F.array(
+    both = visiting.select("doc_id", "text", "carried", "key", F.explode(F.when(F.col("host").isNull(), F.array(
         F.struct(F.col("place").alias("place"), F.lit(0).alias("guest")))).otherwise(F.array(
             F.struct(F.col("place").alias("place"), F.lit(0).alias("guest")),
             F.struct(F.col("host").alias("place"), F.lit(1).alias("guest"))))).alias("at"))
-    dealt = both.select("doc_id", "text", "text_hash", "key", "at.place", "at.guest").repartitionById(len(bounds) + 1, F.col("place"))
+    dealt = both.select("doc_id", "text", "carried", "key", "at.place", "at.guest").repartitionById(len(bounds) + 1, F.col("place"))
     ordered = dealt.sortWithinPartitions("place", "guest", F.desc("key"), "text").select(
-        "doc_id", "text", "place", "guest", "text_hash")
-    add = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, text_hash long, near_next double"
-    names = ["doc_id", *[c.split(" ")[0] for c in add.split(", ")]]
+        "doc_id", "text", "place", "guest", "carried")
+    add = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    add += "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carried)
+    names = ["doc_id", *[c.split(" ")[0].strip("`") for c in add.split(", ")]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the row before: its id, text, place and hash
+        held = None  # the row before: its id, text, place and what it carries
 
         last = None  # what was found of the row before it, still without its likeness to the held row
 
@@ -143,19 +145,19 @@ def in_order(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", parts:
                     low, edited, sha = compare(held[1], t)
                     x, y = digest(low), digest(edited)
                     if last is not None:
-                        done.append((*last[0], likeness(last[1], x)))
-                    last = ((held[0], len(held[1]), sha, x.tobytes().hex(), y.tobytes().hex(), likeness(x, y), held[3]), x)
+                        done.append((*last[0], likeness(last[1], x), *last[2]))
+                    last = ((held[0], len(held[1]), sha, x.tobytes().hex(), y.tobytes().hex(), likeness(x, y)), x, [held[3][c] for c in carried])
                 if guest and last is not None:  # the end of a range: its last row is followed by the first guest
-                    done.append((*last[0], likeness(last[1], digest(compare(t, "")[0]))))
+                    done.append((*last[0], likeness(last[1], digest(compare(t, "")[0])), *last[2]))
                     last = None
                 held = None if guest else (i, t, place, own)
             if done:
                 columns = list(zip(*done, strict=True))
-                types = [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.int64(), pa.float64()]
+                types = [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+                types += [batch.schema.field("carried").type.field(c).type for c in carried]
                 yield pa.RecordBatch.from_arrays([pa.array(c, y) for c, y in zip(columns, types, strict=True)], names=names)
 
-    out = ordered.mapInArrow(run, f"doc_id {kind}, {add}")
-    return out.select(*[c for c in names if c != "text_hash"], *(["text_hash"] if hashed else []))
+    return ordered.mapInArrow(run, f"doc_id {kind}, {add}")
 
 
 def bands(h: np.ndarray) -> np.ndarray:
@@ -175,12 +177,14 @@ def whole(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
 
     Links are not counted: of two near copies that others have joined already the pair is not made.
     """
-    # before the texts are dealt out, so that the room of its shuffles is free by then
+    # Classes come first, and travel with the texts: rows that are in none (most) are not shuffled to learn it.
     near = minmax.linked(docs, doc_id, text, percent, bands).filter("n_class > 1").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "component_id", "n_class").distinct()
-    prints = in_order(docs, doc_id, text, hashed=True)
-    out = prints.join(near, prints["doc_id"].eqNullSafe(near["_id"]) & (prints["text_hash"] == near["_hash"]), "left")
-    return out.select(
-        *[c for c in prints.columns if c != "text_hash"],
-        F.when(F.col("_hash").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(text).alias("text_hash"))
+    rows = flagged(rows, F.xxhash64("doc_id", "text_hash"), near, F.xxhash64("_id", "_hash"))
+    alone = rows.filter("not _may").select("doc_id", "text", F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_class"))
+    asked = rows.filter("_may").drop("_may")
+    joined = asked.join(near, asked["doc_id"].eqNullSafe(near["_id"]) & (asked["text_hash"] == near["_hash"]), "left").select(
+        "doc_id", "text", F.when(F.col("_hash").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.coalesce("n_class", F.lit(1)).alias("n_class"))
+    return in_order(alone.unionByName(joined), carried=("component_id", "n_class"))
