@@ -168,7 +168,7 @@ def bands(h: np.ndarray) -> np.ndarray:
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every row: near copies at ``percent`` hundredths."""
-    return minmax.linked(docs, doc_id, text, percent, bands).drop("text_hash", "n_class")
+    return minmax.linked(docs, doc_id, text, percent, bands).drop("text_hash", "n_class", "survivor")
 
 
 def whole(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:

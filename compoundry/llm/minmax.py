@@ -105,8 +105,9 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
            band_hashes: Callable[[np.ndarray], np.ndarray] = bands) -> DataFrame:
-    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` (least id reachable), ``kept`` and ``n_class`` (rows of
-    the component), for every row.
+    """``doc_id``, ``text_hash``, ``n_shingles``, ``component_id`` (least id reachable), ``kept``, ``n_class`` (rows of
+    the component) and ``survivor``, for every row. The survivor of a component is its least (id, text hash), nulls
+    last; unlike ``kept`` it is one text also where near copies share an id or have none. A row linked with nothing is its own.
 
     Null and empty texts, and texts without words, have no shingles and are linked with nothing. Repeated rows get
     equal results. A row with a null id joins the component of its text, and is kept only where that has no other id.
@@ -115,6 +116,7 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
     rows = durable(signed(docs, doc_id, text, band_hashes), "signed")
     nodes = rows.filter("set_key is not null").groupBy("set_key").agg(
         F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("n_shingles").alias("n"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")).alias("head"),
         F.min(F.struct("doc_id", "text_hash")).alias("source"), F.first("bands").alias("bands"))
     nodes = durable(nodes, "nodes")
     # Buckets by their hash first: of all band values only those that occur twice are joined with their sets.
@@ -161,15 +163,18 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent:
         roots = durable(components(links.union(more)), "roots")
     discard(sets, alive, members, left, links, more)
     # Least id of each component; sets with one copy and no link need no entry.
-    full = nodes.select("set_key", "rep", "copies").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
+    full = nodes.select("set_key", "rep", "copies", "head").join(roots.withColumnRenamed("node", "set_key"), "set_key", "left")
     least = full.filter("root is not null").groupBy("root").agg(
-        F.min("rep").alias("least"), F.sum("copies").alias("n_class"))
+        F.min("rep").alias("least"), F.sum("copies").alias("n_class"), F.min("head").alias("_head"))
     label = full.filter("copies > 1 or root is not null").join(least, "root", "left").select(
-        F.col("set_key"), F.coalesce("least", "rep").alias("least"), F.coalesce("n_class", "copies").alias("n_class"))
+        F.col("set_key"), F.coalesce("least", "rep").alias("least"), F.coalesce("n_class", "copies").alias("n_class"),
+        F.coalesce("_head", "head").alias("head"))
     out = rows.select("doc_id", "text_hash", "n_shingles", "set_key").join(label, "set_key", "left")
     component = F.coalesce("least", "doc_id")
     out = durable(out.select(
         "doc_id", "text_hash", "n_shingles", component.alias("component_id"),
-        F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("n_class", F.lit(1)).alias("n_class")), "linked")
+        F.col("doc_id").eqNullSafe(component).alias("kept"), F.coalesce("n_class", F.lit(1)).alias("n_class"),
+        (F.col("head").isNull() | (F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("text_hash") == F.col("head.text_hash")))
+         ).alias("survivor")), "linked")
     discard(rows, nodes, roots)
     return out

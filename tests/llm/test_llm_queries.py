@@ -71,7 +71,7 @@ def test_pipeline_equals_a_plain_reading(spark):
     assert one.columns == df.columns
     assert collections.Counter((r.doc_id, r.text) for r in one.collect()) == collections.Counter(r[:2] for r in kept)
     two = stages["near_duplicates"](spark, one, SF)
-    verdict = {d: keep for d, _, _, keep in near_classes([r[:2] for r in kept], 85)}
+    verdict = {d: keep for d, _, _, keep in near_classes([r[:2] for r in kept], corpus_pipeline.NEAR)}
     left = {r[:2] for r in kept if verdict[r[0]]}
     assert two.columns == df.columns
     assert sorted((r.doc_id, r.text) for r in two.collect()) == sorted(left)
@@ -102,6 +102,22 @@ def test_pipeline_drops_near_copies_from_80_hundredths(spark):
     assert sorted(r.doc_id for r in left.collect()) == kept[0]
 
 
+def test_pipeline_keeps_one_of_near_copies_with_one_id_or_none(spark):
+    def copies(seed, n):
+        words = prose(150, seed).split()
+        return [" ".join(words[: 20 + k] + ["edit"] + words[21 + k :]) for k in range(n)]
+
+    one, none, mixed, far = copies(51, 4), copies(52, 3), copies(53, 3), prose(150, 54)
+    docs = [(7, t) for t in one] + [(7, one[0]), (7, far)] + [(None, t) for t in none] + [(None, none[1])]
+    docs += [(None, mixed[0]), (9, mixed[1]), (8, mixed[2]), (5, None), (5, None), (None, "")]
+    left = dict(corpus_pipeline.STAGES)["near_duplicates"](spark, spark.createDataFrame(docs, "doc_id long, text string"), SF)
+    rows = [tuple(r) for r in left.collect()]
+    assert len([t for d, t in rows if d == 7 and t in one]) == 1 and (7, far) in rows
+    assert len([t for d, t in rows if d is None and t in none]) == 1
+    assert [r for r in rows if r[1] in mixed] == [(8, mixed[2])]
+    assert rows.count((5, None)) == 2 and rows.count((None, "")) == 1 and len(rows) == 7
+
+
 def test_pipeline_stages_on_odd_documents(spark):
     df, _ = documents(spark)
     odd = df.filter("doc_id is null or doc_id >= 12000")
