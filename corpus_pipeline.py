@@ -23,11 +23,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays; whole rows that repeat stay once.
+    """Of each group of near copies the document with the least id stays (of one id the text with the least hash; without
+    ids likewise); rows that repeat an id and its text stay once.
 
     Near copies have a Jaccard similarity of NEAR hundredths or more (op6: ``minmax.PERCENT``). Documents without words are copies of nothing and all stay.
     """
-    gone = minmax.linked(docs, percent=NEAR).filter("not kept").select("doc_id", "text_hash").distinct()
+    gone = minmax.linked(docs, percent=NEAR).filter("not survivor").select("doc_id", "text_hash").distinct()
     rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_hash"))
     left = rows.join(gone, rows["_id"].eqNullSafe(gone["doc_id"]) & (rows["_hash"] == gone["text_hash"]), "left_anti")
     wordless = ~F.coalesce(F.col("_row.text"), F.lit("")).rlike(quality.WORD)
