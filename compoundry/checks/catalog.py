@@ -34,7 +34,7 @@ def num(column: str, alias: str | None = None):
 
 
 def load() -> None:
-    from . import entries_batch, entries_published, entries_scalar, entries_stream, entries_text  # noqa: F401
+    from . import entries_batch, entries_integrity, entries_published, entries_scalar, entries_stream, entries_text  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -74,9 +74,14 @@ def pick_mode(choices: list[Callable[[], DataFrame]]) -> DataFrame:
     return last
 
 
-def dedupe_requests(messages: DataFrame, order: str = "value") -> DataFrame:
-    """One message per key, the first by ``order`` (then by value). On a stream the first to arrive stays
-    (``dropDuplicatesWithinWatermark``, with a watermark)."""
+def dedupe_requests(messages: DataFrame, order: str = "value", event_time: str | None = None, delay: str | None = None) -> DataFrame:
+    """One message per key, the first by ``order`` (then by value).
+
+    On a stream the first to arrive stays, also after a restart from the checkpoint: a key is remembered until the
+    watermark (the latest ``event_time`` less ``delay``) has passed it by ``delay``, so state is bounded by what arrives in
+    that time. A stream that has a watermark already needs neither. Messages older than the watermark are left out.
+    """
     if messages.isStreaming:
-        return messages.dropDuplicatesWithinWatermark(["key"])
+        marked = messages.withWatermark(event_time, delay) if event_time else messages
+        return marked.dropDuplicatesWithinWatermark(["key"])
     return reduce_first(messages, ["key"], F.struct(order, "value") if order != "value" else F.col("value")).select(*messages.columns)

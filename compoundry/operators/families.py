@@ -1,8 +1,9 @@
-"""Product families by pattern: J05, J06."""
+"""Product families by pattern: J05, J06, M08."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import patterns as P
@@ -10,11 +11,26 @@ from ..functions.text import strip_noise_name
 from .matching import match_patterns
 from .registry import chem_id
 from .skew import split_hot_join
+from .upsert import insert_only
 
 FAMILY_ROWS = [dict(zip(("family_id", "name", "pattern", "note"), r)) for r in P.FAMILIES]
 _PAIR = ["product_id", "family_id"]
 
 
+def with_fixed_families(family: DataFrame) -> DataFrame:
+    """M08 on the stored families: fixed ones whose name is new are added, with ids after the greatest that is stored.
+
+    Stored rows stay, also where a fixed one has the same name with another pattern.
+    """
+    names = family.select("name").distinct()
+    fixed = family.sparkSession.createDataFrame(
+        [(i, r["name"], r["pattern"], r["note"]) for i, r in enumerate(FAMILY_ROWS)], "position int, name string, pattern string, note string")
+    new = fixed.join(names, "name", "left_anti")
+    last = family.agg(F.max("family_id")).first()[0] or 0
+    number = F.row_number().over(W.orderBy("position")) + F.lit(last)  # the fixed rows are a few
+    return insert_only(family, new.withColumn("family_id", number), ["name"])
+
+
 def family_by_name(
     items: DataFrame, existing: DataFrame, family: DataFrame | list[dict] | None = None
 ) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Derive lookup queries from catalog items: J01, J04, J13, J19, A02, F27, U01."""
+"""Derive lookup queries from catalog items: J01, J04, J13, J19, A02, F27, M08, U01."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from ..functions.cas import extract_cas_loose, is_cas_shaped
 from ..functions.jsons import json_each_text
 from ..functions.text import seed_hint, seed_query, strip_noise_name, title_case
 from .matching import match_patterns, pattern_array, pattern_rows
+from .upsert import insert_only
 
 ALIAS_ROWS = [dict(zip(("pattern", "replacement", "hint", "note"), r)) for r in P.ALIASES]
 
@@ -45,6 +46,16 @@ def alias_match(items: DataFrame, alias: DataFrame | list[dict] | None = None) -
     return matched.select("source_item_id", F.col("replacement").alias("query"), "hint")
 
 
+def with_fixed_aliases(alias: DataFrame) -> DataFrame:
+    """M08 on the stored aliases: fixed ones whose pattern is new are added, after the stored ones where these have a
+    ``position``; stored rows never change."""
+    last = alias.agg(F.max("position")).first()[0] or 0 if "position" in alias.columns else 0
+    fixed = alias.sparkSession.createDataFrame(
+        [(r["pattern"], r["replacement"], r["hint"], r["note"], last + i) for i, r in enumerate(ALIAS_ROWS, 1)],
+        "pattern string, replacement string, hint string, note string, position long")
+    return insert_only(alias, fixed, ["pattern"])
+
+
 def lateral_extract(df: DataFrame, column: str) -> DataFrame:
     """One row per number found in a text column."""
     return df.select("source_item_id", F.posexplode(extract_cas_loose(F.col(column))).alias("match_pos", "query"))

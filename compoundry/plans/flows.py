@@ -61,8 +61,14 @@ def orchestrate(
 ) -> dict[str, DataFrame]:
     """L2: replay, seed, choose and send, register, link, assign families, report.
 
-    ``alias`` and ``family`` are the stored pattern tables; without them the fixed rows are used.
+    ``alias`` and ``family`` are the stored pattern tables; fixed rows that they lack are added (M08), and both are
+    returned. Without them, or as lists, just the given or the fixed rows are used.
     """
+    grown = {}
+    if isinstance(alias, DataFrame):
+        alias = grown["name_alias_map"] = durable(seed.with_fixed_aliases(alias), "aliases")
+    if isinstance(family, DataFrame):
+        family = grown["chemical_family"] = durable(families.with_fixed_families(family), "family")
     if replay_unlinked:
         log = dispatch.clear_log(log, items, xref)
     scope = seed.unlinked(items, xref) if unlinked_only else None
@@ -90,6 +96,7 @@ def orchestrate(
     assigned = durable(product_family.unionByName(by_name), "families")
     by_registry = families.family_by_registry(items, new_xref, new_registry, assigned, family)
     return {
+        **grown,
         "item_master_query": queries,
         "messages": dispatch.dedupe_requests(sent),
         "produced_query_log": sent_log,

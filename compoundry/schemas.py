@@ -1,4 +1,9 @@
-"""Table schemas, as DDL strings. Text sources are read as text and converted; nothing is inferred."""
+"""Table schemas, as DDL strings, and what their rows must fulfil. Text sources are read as text and converted;
+nothing is inferred."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
 
 SCHEMAS: dict[str, str] = {
     "stg_item_master": "id bigint, sku string, name string, description string, cas string, brand string, "
@@ -51,3 +56,60 @@ SCHEMAS: dict[str, str] = {
 def empty(spark, table: str):
     """An empty table; the state before the first run."""
     return spark.createDataFrame([], SCHEMAS[table])
+
+
+@dataclass(frozen=True)
+class Constraints:
+    """What the rows of a table must fulfil; everything is SQL over its columns.
+
+    ``rules`` are conditions by name, ``unique`` lists of expressions by name, ``references`` name a column's parent table
+    and column. Rows go with their parent. ``key`` is what children refer to.
+    """
+
+    rules: dict[str, str] = field(default_factory=dict)
+    unique: dict[str, list[str]] = field(default_factory=dict)
+    references: dict[str, tuple[str, str]] = field(default_factory=dict)
+    key: str | None = None
+
+
+def _present(*columns: str) -> dict[str, str]:
+    return {f"{c}_present": f"{c} is not null" for c in columns}
+
+
+def _of_document(*present: str, unique: dict[str, list[str]] | None = None, **rules: str) -> Constraints:
+    return Constraints({**_present("doc_id", *present), **rules}, unique or {}, {"doc_id": ("sds_document", "doc_id")})
+
+
+# The conditions, keys and references of the stored tables.
+CONSTRAINTS: dict[str, Constraints] = {
+    "users": Constraints(_present("user_id"), {"user": ["user_id"], "email": ["email"]}, key="user_id"),
+    "companies": Constraints(
+        {**_present("company_id", "name"), "name_text": "length(trim(name)) > 0"}, {"company": ["company_id"]}, key="company_id"),
+    "products": Constraints(
+        {**_present("product_id", "name"), "name_text": "length(trim(name)) > 0", "cas_form": r"cas_number rlike r'^[0-9]{2,7}-[0-9]{2}-[0-9]\z'"},
+        {"product": ["product_id"], "cas": ["cas_number"]}, key="product_id"),
+    "company_product_relationships": Constraints(
+        {**_present("company_id", "product_id", "relationship_type"), "type_known": "relationship_type in ('supplier','manufacturer','customer')"},
+        {"relationship": ["company_id", "product_id", "relationship_type"]},
+        {"company_id": ("companies", "company_id"), "product_id": ("products", "product_id")}, "relationship_id"),
+    "chemical_properties": Constraints(
+        {**_present("product_id", "property_name", "property_value"), "name_text": "length(trim(property_name)) > 0"},
+        {"property": ["product_id", "property_name", "coalesce(source, '')"]}, {"product_id": ("products", "product_id")}, "property_id"),
+    "user_interactions": Constraints(
+        {**_present("user_id", "product_id", "action", "occurred_at"), "action_known": "action in ('view','search','favorite','download')"},
+        {"interaction": ["user_id", "product_id", "action", "occurred_at"]},
+        {"user_id": ("users", "user_id"), "product_id": ("products", "product_id")}, "interaction_id"),
+    "name_alias_map": Constraints(
+        {**_present("pattern", "replacement", "hint"), "hint_known": "hint in ('name','cas')"}, {"pattern": ["pattern"]}),
+    "item_master_query": Constraints({"hint_known": "hint in ('auto','name','cas')"}),
+    "sds_document": Constraints(
+        _present("doc_id", "filename", "file_sha256", "pages"), {"document": ["doc_id"], "file": ["file_sha256"]}, key="doc_id"),
+    "sds_page": _of_document("page_no", unique={"page": ["doc_id", "page_no"]}),
+    "sds_section": _of_document(
+        "section_no", unique={"section": ["doc_id", "section_no"]}, section_range="section_no between 1 and 16"),
+    "sds_entity": _of_document(
+        "entity_type", unique={"entity": ["doc_id", "entity_type", "norm_value"]},
+        type_known="entity_type in ('CAS','UN','GHS_H','GHS_P','SIGNAL','NAME')"),
+    "sds_component": _of_document(),
+    "sds_hazard": _of_document(),
+}
