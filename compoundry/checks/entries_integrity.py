@@ -1,4 +1,5 @@
-"""Gates on write, deletes along references, pattern tables that grow, requests once on a stream: C01-C08, C10, M08, T07."""
+"""Gates on write, deletes along references, pattern tables that grow, requests once on a stream,
+a reference that changes: C01-C08, C10, M08, T07, J18."""
 
 from __future__ import annotations
 
@@ -10,7 +11,9 @@ from ..plans import flows
 from ..schemas import CONSTRAINTS, Constraints
 from ..session import scratch_path
 from ..sources import messages
-from .catalog import entry
+from ..sources.versions import Versions
+from ..streaming import lookup, worker
+from .catalog import entry, now
 from .entries_published import published
 from .fixtures import ORACLES, RELATIONS
 
@@ -132,6 +135,31 @@ def _(t):
     return families.with_fixed_families(t.fx_family).drop("note")
 
 
+@entry(
+    "J18_changing_reference",
+    "select key, cid::varchar cid from o_routed where error is null and (msg_no % 2 = 1 or cid % 2 = 0)",
+)
+def _(t):
+    """Compounds with an odd id are published between the two batches of one run."""
+    source, out = scratch_path(t.spark, "arrivals"), scratch_path(t.spark, "answers")
+    store = Versions(t.spark, scratch_path(t.spark, "reference"))
+    requests = t.fx_requests.select("msg_no", F.col("ts").cast("timestamp").alias("ts"), "key", "value")
+    for k in (0, 1):
+        requests.filter(F.col("msg_no") % 2 == k).coalesce(1).write.mode("append").parquet(source)
+    lookup.publish_index(store, t.fx_reference.filter("cid % 2 = 0"))
+
+    def sink(df, name, batch_id):
+        df.write.mode("overwrite").parquet(f"{out}/sent/{name}/batch={batch_id}")
+        if name == "dead_letters" and batch_id == 0:
+            lookup.publish_index(store, t.fx_reference)
+
+    stream = messages.request_stream(
+        t.spark, {"format": "parquet", "path": source, "maxFilesPerTrigger": "1"}, schema=requests.schema)
+    query = worker.run_worker(stream, lookup.current_index(store), out, out + "-checkpoint", order="msg_no", now=now(), sink=sink)
+    query.awaitTermination()
+    return t.spark.read.parquet(f"{out}/sent/results").select("key", F.get_json_object("value", "$.cid").alias("cid"))
+
+
 @entry("T07_stream_dedupe", "select key, 1::bigint n, min(msg_no % 3)::bigint batch from fx_requests where key is not null group by key")
 def _(t):
     """Three arrivals with repeated keys; the run stops after two of them and goes on from its checkpoint."""

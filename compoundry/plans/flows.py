@@ -6,8 +6,11 @@ that several results need is written once to the shared folder (``durable``).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from .. import patterns as P
 from ..functions.text import strip_ws
@@ -15,9 +18,9 @@ from ..operators import compounds as comp
 from ..operators import dispatch, families, fuzzy, predicates, registry, report, seed, sheets
 from ..operators import upsert as up
 from ..operators.quality import json_column_repair
-from ..session import durable
+from ..session import discard, durable
 from ..schemas import SCHEMAS, empty
-from ..sources import messages, staging
+from ..sources import documents, messages, staging
 from ..sources.versions import Versions
 
 #: What a stored page holds besides its key.
@@ -254,6 +257,33 @@ def sds_update(store: Versions, docs: DataFrame, pages: DataFrame, items: DataFr
         {"sds_page": fresh, "sds_run": runs}, based_on=version)
 
 
+def sds_arrivals(
+    store: Versions, files: DataFrame, items: DataFrame, now: Column, checkpoint: str,
+    reader: Callable = documents.text_pages, continuous: str | None = None,
+) -> StreamingQuery:
+    """L5 from the files on: S05 and S06 on a stream of files (``documents.arriving_files``), then ``sds_update``.
+
+    Each micro-batch is one version. A document is a distinct content; a file that repeats one only gives it its title.
+    A batch that is replayed finds its pages stored and mines none. Without ``continuous`` (a trigger interval) it takes
+    what is there and ends; files per batch are an option of the stream.
+    """
+    def take(batch: DataFrame, batch_id: int) -> None:
+        held = durable(batch.select("path", "content"), "files")  # files may change or go while they are read
+        found = documents.documents_of(held)
+        docs = found.select(
+            documents.document_id(F.col("file_sha256")).alias("doc_id"), F.lit(None).cast("bigint").alias("product_id"),
+            "title", "filename", "file_sha256")
+        pages = documents.page_triage(documents.pages_of(held, reader)).select(
+            documents.document_id(F.col("file_sha256")).alias("doc_id"), "page_no", "has_text",
+            F.lit(False).alias("ocr_used"), F.lit(None).cast("double").alias("ocr_conf"), "text")
+        pages = durable(pages, "pages")
+        sds_update(store, docs, pages, items, now)
+        discard(held, pages)
+
+    trigger = {"processingTime": continuous} if continuous else {"availableNow": True}
+    return files.writeStream.option("checkpointLocation", checkpoint).foreachBatch(take).trigger(**trigger).start()
+
+
 def current_pages(store: Versions, version: int | None = None) -> DataFrame:
     """The pages of a published version, without those that later runs replaced."""
     pages, state = store.table("sds_page", version), store.table("sds_page_state", version)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,7 +11,10 @@ from ..functions.cas import is_cas_shaped
 from ..functions.text import strip_ws
 from ..operators.skew import split_hot_join
 from ..operators.upsert import reduce_first
+from ..sources.versions import Versions
 
+INDEX = "lookup_index"
+INDEX_SCHEMA = "kind string, key string, cid bigint, molecular_formula string, molecular_weight string, iupac_name string"
 FACTS = ["cid", "molecular_formula", "molecular_weight", "iupac_name"]
 
 
@@ -28,6 +33,23 @@ def lookup_index(compounds: DataFrame) -> DataFrame:
     return reduce_first(flat, ["kind", "key"], order)
 
 
+def publish_index(store: Versions, compounds: DataFrame) -> int:
+    """The next version of the lookup index, for workers that run on (``current_index``). Rows lie in ranges of ``key``,
+    so that a reader with few keys can skip row groups."""
+    index = lookup_index(compounds)
+    return store.publish({INDEX: index.repartitionByRange("key", "kind").sortWithinPartitions("key", "kind")})
+
+
+def current_index(store: Versions) -> Callable[[], DataFrame]:
+    """The index as a worker takes it: asked for by every micro-batch, which then stays with the version it found. Before
+    the first publication the index is empty. A batch that is replayed may find a newer version."""
+    def read() -> DataFrame:
+        found = store.table(INDEX)
+        return store.spark.createDataFrame([], INDEX_SCHEMA) if found is None else found
+
+    return read
+
+
 def enrich_lookup(requests: DataFrame, index: DataFrame, column: str = "query") -> DataFrame:
     """Facts of the compound found by number (when the query is one), else by name.
 

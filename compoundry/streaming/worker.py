@@ -107,12 +107,13 @@ def ordered_by(messages: DataFrame, order: str | Sequence[str]) -> Column:
 
 
 def persist_batch(
-    batch: DataFrame, batch_id: int, index: DataFrame, out: str, order: str | Sequence[str] = ORDER,
+    batch: DataFrame, batch_id: int, index: DataFrame | Callable[[], DataFrame], out: str, order: str | Sequence[str] = ORDER,
     now: Column | None = None, sink: Sink | None = None,
 ) -> None:
     """Route one micro-batch and write its results, dead letters, changes and log.
 
-    ``sink`` takes results and dead letters; without one they are Parquet folders like the tables.
+    ``sink`` takes results and dead letters; without one they are Parquet folders like the tables. ``index`` may be a
+    function that gives the index as it is now (``lookup.current_index``), so that it can change while the worker runs.
     """
     spark = batch.sparkSession
     started = time.time()
@@ -121,7 +122,7 @@ def persist_batch(
     def write(df: DataFrame, table: str) -> None:
         df.write.mode("overwrite").parquet(f"{out}/{table}/batch={batch_id}")
 
-    routed = route(batch, index)
+    routed = route(batch, index() if callable(index) else index)
     write(routed, "routed")
     routed = spark.read.schema(routed.schema).parquet(f"{out}/routed/batch={batch_id}")
     accepted = routed.filter(F.col("error").isNull())
@@ -137,7 +138,7 @@ def persist_batch(
 
 
 def run_worker(
-    messages: DataFrame, index: DataFrame, out: str, checkpoint: str, order: str | Sequence[str] = ORDER,
+    messages: DataFrame, index: DataFrame | Callable[[], DataFrame], out: str, checkpoint: str, order: str | Sequence[str] = ORDER,
     now: Column | None = None, continuous: str | None = None, sink: Sink | None = None,
 ) -> StreamingQuery:
     """L3: start the worker. Without ``continuous`` (a trigger interval) it works off what is there and ends.
