@@ -4,7 +4,12 @@ The similarity is the Jaccard index of trigram sets, so a match above a threshol
 the first trigrams of each set in a fixed global order (prefix filter). Two sets that must share at
 least two trigrams share two within prefixes that are longer by one; pairs of trigrams are far rarer than
 single ones, so the index is asked for pairs. Only where both sets are so short that one shared trigram
-is enough, single trigrams are asked for. Rare trigrams come first, which keeps the index lists short.
+is enough, or so long that pairs would be too many, single trigrams are asked for. Rare trigrams come
+first, which keeps the index lists short. Keys hold the buckets of both sizes, as sets of like size need
+shorter prefixes than a short and a long one.
+
+Sets that share a key by chance are told apart inside the join, by what can still be shared after the key
+(positional filter) and by hashed bitmaps of both sets (a bit of only one set is a trigram the other lacks).
 
 Only the best match of a document is wanted, so thresholds descend: equal sets first, then high
 thresholds with short prefixes, then the wanted one. A document that finds a match leaves; what it found
@@ -13,7 +18,7 @@ is its best, because every pair above that threshold was seen. Nothing is cut of
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import patterns as P
@@ -23,6 +28,13 @@ from .skew import split_hot_join
 
 #: Trigrams that are told apart by how frequent they are; the others count as rare. Only speed hangs on it.
 RANKED_GRAMS = 4096
+#: Least sizes of the buckets of set sizes, each a quarter larger than the one before.
+SIZES = [1]
+while SIZES[-1] < 1 << 24:
+    SIZES.append(max(SIZES[-1] + 1, SIZES[-1] * 5 // 4))
+#: Words of a bitmap, and the longest prefix of which pairs are made.
+WORDS, MOST_PREFIX = 4, 60
+BITS = [f"b{k}" for k in range(WORDS)]
 _EPS = 1e-6
 
 
@@ -38,24 +50,82 @@ def _ranked(sets: DataFrame, common: DataFrame) -> DataFrame:
     return ranked.select("id", "item_id", F.transform("o", lambda x: x["gram"]).alias("grams"))
 
 
-def index_rows(sets: DataFrame, threshold: float, side: str) -> DataFrame:
-    """(``key``, id, size) for every pair of trigrams of a set's prefix, and for the trigrams of very short sets."""
-    n = F.size("grams")
-    must = F.ceil(threshold * n - _EPS).cast("int")  # what any partner of this set shares with it, at least
-    prefix = F.slice("grams", F.lit(1), F.least(n, n - must + 2))
-    rows = sets.select("id", n.alias("n"), "grams", (must <= 1).alias("short"), prefix.alias("prefix"))
-    pairs = F.flatten(F.transform("prefix", lambda g, i: F.transform(
-        F.slice("prefix", i + 2, F.size("prefix")), lambda h: F.xxhash64(F.lit(2), g, h))))
-    single = F.when(F.col("short"), F.transform("grams", lambda g: F.xxhash64(F.lit(1), g))).otherwise(F.array().cast("array<bigint>"))
-    return rows.select(F.explode(F.concat(pairs, single)).alias("key"), F.col("id").alias(side + "_id"), F.col("n").alias(side + "_n"))
+def _needed(n: Column, m: Column, threshold: float) -> Column:
+    """Trigrams that sets of ``n`` and ``m`` must share at least to reach the threshold."""
+    return F.ceil(threshold / (1 + threshold) * (n + m) - _EPS).cast("int")
+
+
+def bitmap(grams: Column) -> list[Column]:
+    """A set of trigrams as words of a hashed bitmap; a bit only one of two sets has is a trigram they don't share."""
+    bits = F.transform(grams, lambda g: F.pmod(F.xxhash64(g), F.lit(64 * WORDS)).cast("int"))
+
+    def word(k: int) -> Column:
+        own = F.filter(bits, lambda b: F.shiftright(b, 6) == k)
+        return F.reduce(own, F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), b % 64)))
+
+    return [word(k) for k in range(WORDS)]
+
+
+def index_rows(sets: DataFrame, buckets: DataFrame, threshold: float, side: str) -> DataFrame:
+    """Keys of every ``measured`` set for each bucket of partners (``low``, ``next``, ``most``).
+
+    A key is a pair of trigrams of the prefix, or one trigram where sets are so short that one may be enough, or so long
+    that pairs would be too many. ``place`` is the position of the key's last trigram, ``width`` the trigrams in it.
+    """
+    n, low = F.col("n"), F.col("p_low")
+    partners = buckets.select(*[F.col(c).alias("p_" + c) for c in buckets.columns])
+    both = sets.join(F.broadcast(partners), (low * threshold - _EPS <= n) & (F.col("p_most") >= threshold * n - _EPS))
+    # what both sides know of a pair decides how its keys are made
+    common = _needed(F.col("low"), low, threshold)
+    width = F.when((common >= 2) & (F.greatest("next", "p_next") - common <= MOST_PREFIX), 2).otherwise(1)
+    least = F.greatest(low, F.ceil(threshold * n - _EPS).cast("int"))
+    length = F.greatest(F.lit(0), F.least(n, n - _needed(n, least, threshold) + F.col("width")))
+    rows = both.withColumn("width", width).withColumn("length", length)
+    between = ["low", "p_low"] if side == "l" else ["p_low", "low"]
+    prefix = F.slice("grams", F.lit(1), F.col("length"))
+    pairs = F.flatten(F.transform(prefix, lambda g, i: F.transform(
+        F.slice("grams", i + 2, F.col("length") - i - 1), lambda h, j: F.struct(F.xxhash64(*between, g, h).alias("key"), (i + j + 1).alias("place")))))
+    single = F.transform(prefix, lambda g, i: F.struct(F.xxhash64(*between, g).alias("key"), i.alias("place")))
+    made = rows.select("id", "n", "width", *BITS, F.explode(F.when(F.col("width") == 2, pairs).otherwise(single)).alias("k"))
+    columns = [F.col(c).alias(f"{side}_{c}") for c in ("id", "n", *BITS)]
+    return made.select(F.col("k.key").alias("key"), F.col("width").alias(side + "_width"), F.col("k.place").alias(side + "_place"), *columns)
+
+
+def measured(sets: DataFrame) -> DataFrame:
+    """Sets with their size ``n``, the least size of its bucket and of the next one, and the words of their bitmap.
+
+    To be written before it is read by ``candidates``, so that this is done once.
+    """
+    words = [w.alias(c) for w, c in zip(bitmap(F.col("grams")), BITS, strict=True)]
+    sizes, n = F.array(*map(F.lit, SIZES)), F.size("grams")
+    low = F.array_max(F.filter(sizes, lambda x: x <= n)).alias("low")
+    return sets.select("*", n.alias("n"), low, F.array_min(F.filter(sizes, lambda x: x > n)).alias("next"), *words)
 
 
 def candidates(texts: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
-    """Distinct pairs of ids that may reach the threshold."""
+    """Distinct pairs of ids that may reach the threshold, of ``measured`` sets.
+
+    Judged inside the join, so that sets that share a key by chance leave no row behind: by their sizes, by what can
+    still be shared after the key, and by the bits only one of them has.
+    """
     t = threshold - _EPS
-    pairs = index_rows(texts, t, "l").join(index_rows(names, t, "r"), "key")
-    near = pairs.filter((F.col("r_n") >= t * F.col("l_n")) & (F.col("r_n") * t <= F.col("l_n")))
-    return near.select("l_id", "r_id").distinct()
+
+    def buckets(sets: DataFrame) -> DataFrame:  # at most one row for each bucket of sizes
+        return sets.groupBy("low", "next").agg(F.max("n").alias("most"))
+
+    left, right = index_rows(texts, buckets(names), t, "l"), index_rows(names, buckets(texts), t, "r")
+    need = t / (1 + t) * (F.col("l_n") + F.col("r_n")) - _EPS
+
+    def alone(a: str, b: str) -> Column:
+        return sum((F.bit_count(F.col(f"{a}_{c}").bitwiseAND(F.bitwise_not(f"{b}_{c}"))) for c in BITS), F.lit(0))
+
+    after = F.least(F.col("l_n") - F.col("l_place"), F.col("r_n") - F.col("r_place")) - 1
+    near = (
+        (left["key"] == right["key"]) & (F.col("r_n") >= t * F.col("l_n")) & (F.col("r_n") * t <= F.col("l_n"))
+        & (F.col("l_width") + after >= need)
+        & (F.col("l_n") - alone("l", "r") >= need) & (F.col("r_n") - alone("r", "l") >= need)
+    )
+    return left.join(right, near).select("l_id", "r_id").distinct()
 
 
 def _best_above(texts: DataFrame, names: DataFrame, threshold: float) -> DataFrame:
@@ -74,7 +144,7 @@ def _best_above(texts: DataFrame, names: DataFrame, threshold: float) -> DataFra
 
 
 def fuzzy_best(
-    docs: DataFrame, items: DataFrame, threshold: float = P.FUZZY_THRESHOLD, steps: tuple[float, ...] = (0.8, 0.6)
+    docs: DataFrame, items: DataFrame, threshold: float = P.FUZZY_THRESHOLD, steps: tuple[float, ...] = (0.7,)
 ) -> DataFrame:
     """Per document without product, the most similar item by title or file name: (doc_id, source_item_id, sim).
 
@@ -102,8 +172,8 @@ def fuzzy_best(
         .orderBy(F.col("n").desc(), "gram").limit(RANKED_GRAMS)
     )
     common = durable(common, "fuzzy-common")
-    ranked_names = durable(_ranked(names, common), "fuzzy-index")
-    ranked = durable(_ranked(texts.withColumn("item_id", F.lit(None).cast("long")), common), "fuzzy-index")
+    ranked_names = durable(measured(_ranked(names, common)), "fuzzy-index")
+    ranked = durable(measured(_ranked(texts.withColumn("item_id", F.lit(None).cast("long")), common)), "fuzzy-index")
 
     def to_docs(best: DataFrame) -> DataFrame:
         return todo.join(best, "text_id").groupBy("doc_id").agg(F.max("best").alias("best"))

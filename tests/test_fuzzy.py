@@ -85,7 +85,7 @@ def test_candidates_grow_with_the_names(spark):
         for i in range(n):
             name = f"{''.join(r.choice(syllables) for _ in range(4))} {r.choice(makes)} {r.randint(1000, 9999)}"
             rows.append((i, i, sorted(hash_of(g) for g in grams(name))))
-        return spark.createDataFrame(rows, "id long, item_id long, grams array<bigint>")
+        return fuzzy.measured(spark.createDataFrame(rows, "id long, item_id long, grams array<bigint>"))
 
     def hash_of(g):
         return sum(ord(c) << (21 * k) for k, c in enumerate(g))
@@ -93,6 +93,37 @@ def test_candidates_grow_with_the_names(spark):
     few = fuzzy.candidates(sets(150, 1), sets(600, 2), 0.45).count()
     more = fuzzy.candidates(sets(150, 1), sets(1200, 3), 0.45).count()
     assert more <= 2.5 * max(few, 1) and more < 0.2 * 150 * 1200
+    # sets that share a key by chance are no candidates: hardly any is left of pairs without a match
+    assert more < 0.001 * 150 * 1200
+
+
+def long_name(rnd, words, n):
+    return " ".join(rnd.choice(words) for _ in range(n))
+
+
+def test_equals_all_pairs_of_very_long_and_short_names(spark):
+    """Sets of up to some hundred trigrams, whose prefixes are too long for pairs, beside short ones."""
+    rnd = random.Random(9)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 9))) for _ in range(120)]
+    items = [(i + 1, long_name(rnd, words, rnd.choice([1, 2, 5, 20, 60, 90]))) for i in range(40)]
+    docs = []
+    for d in range(60):
+        kept = [w for w in rnd.choice(items)[1].split() if rnd.random() < 0.75]
+        docs.append((d, None, " ".join(kept + [rnd.choice(words) for _ in range(rnd.randint(0, 6))]), None))
+    expected = rounded(brute(docs, items))
+    assert max(len(grams(n)) for _, n in items) > 300 and len(expected) > 30
+    assert run(spark, docs, items) == expected
+
+
+def test_candidates_hold_every_pair_above_the_threshold(spark):
+    rnd = random.Random(12)
+    rows = [(i, i, sorted(rnd.sample(range(60), rnd.choice([1, 2, 3, 5, 8, 13, 21])))) for i in range(240)]
+    frame = fuzzy.measured(spark.createDataFrame(rows, "id long, item_id long, grams array<bigint>"))
+    for threshold in (0.2, 0.45, 0.8, 1.0):
+        found = {(r.l_id, r.r_id) for r in fuzzy.candidates(frame, frame, threshold).collect()}
+        sets = [(i, set(g)) for i, _, g in rows]
+        assert {(i, j) for i, a in sets for j, b in sets if len(a & b) >= threshold * len(a | b)} <= found
+
 
 def test_threshold_is_in_single_precision(spark):
     # nine of twenty trigrams shared: 0.45 as a single is below 0.45
