@@ -1,7 +1,9 @@
 """Match text against a table of regular expressions.
 
 Pattern tables become part of the projection, so a match costs no join at all and patterns are compiled
-once. A long table stands there in blocks, so that no single expression grows with it.
+once. A longer table stands there in blocks. A table beyond ``MOST_INLINE`` rows stays a table: a literal that
+every match of a pattern must hold is taken from the pattern, texts and literals are joined by short stretches of
+characters, and only texts that hold the literal are matched. Plans then don't grow with the table.
 """
 
 from __future__ import annotations
@@ -11,7 +13,18 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import durable
+from .skew import split_hot_join
+
 BLOCK = 200
+#: Pattern tables of more rows are joined by literals.
+MOST_INLINE = 1000
+#: Lengths of the stretches by which texts and literals are joined; a literal takes the greatest it can.
+STRETCHES = (6, 3)
+# Stands for a part of a pattern that may match various texts.
+_BREAK = "\x00"
+# Forms in which characters don't stand for themselves in a way that is read here.
+_UNREAD = r"\\[xupPcQEkN0]|\(\?(?!:|i\))|\[\^?\]|\[[^\]]*\[|&&|\x00"
 
 
 def _any(patterns: list[str], flags: str) -> str | None:
@@ -47,7 +60,7 @@ def pattern_array(text: Column, rows: list[dict], fields: list[str], flags: str
 def pattern_rows(patterns: list[dict] | DataFrame, fields: list[str]) -> list[dict]:
     """A pattern table as a list in its order: by ``position`` if it has such a column, else by pattern and fields.
 
-    Pattern tables are configuration: they are read whole, and nothing hangs on their size.
+    Read whole by the driver: tables of at most ``MOST_INLINE`` rows, and of larger ones the patterns without a literal.
     """
     if not isinstance(patterns, DataFrame):
         return list(patterns)
@@ -56,9 +69,63 @@ def pattern_rows(patterns: list[dict] | DataFrame, fields: list[str]) -> list[di
     return [r.asDict() for r in patterns.orderBy(*order).select(*names).collect()]
 
 
+def literals(pattern: Column) -> Column:
+    """Texts (lower case, ASCII letters, digits and blanks, three at least) of which every match holds one, whatever its case.
+
+    One for each alternative; null where an alternative has none, or the pattern has forms that are not read here.
+    """
+    plain = F.regexp_replace(pattern, r"\\.", _BREAK)
+    plain = F.regexp_replace(plain, r"\[[^\]]*\]", _BREAK)
+    for _ in range(4):  # groups from the inside out; deeper ones leave a parenthesis
+        plain = F.regexp_replace(plain, r"\([^()]*\)", _BREAK)
+    plain = F.regexp_replace(plain, r"(?s).(?:[?*]|\{[^}]*\})", _BREAK)
+
+    def longest(part: Column) -> Column:
+        runs = F.regexp_extract_all(part, F.lit("[A-Za-z0-9 ]{3,}"), F.lit(0))
+        return F.lower(F.array_max(F.transform(runs, lambda r: F.struct(F.length(r), r.alias("run"))))["run"])
+
+    found = F.transform(F.split(plain, r"\|"), longest)
+    read = ~pattern.rlike(_UNREAD) & ~plain.rlike(r"[()\[\]]") & ~F.exists(found, lambda x: x.isNull())
+    return F.when(read, F.array_distinct(found))
+
+
+def _stretches(text: Column, size: int) -> Column:
+    """The distinct stretches of ``size`` characters of a text."""
+    last = F.length(text) - size + 1
+    return F.when(last >= 1, F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.substring(text, i, size)))).otherwise(
+        F.array().cast("array<string>"))
+
+
+def _match_large(df: DataFrame, text: str, patterns: DataFrame, fields: list[str], flags: str) -> DataFrame:
+    entry = F.struct(*fields).alias("_entry")
+    table = durable(patterns.select(F.monotonically_increasing_id().alias("_id"), "pattern", entry, literals(F.col("pattern")).alias("_all")), "patterns")
+    each = table.filter("_all is not null").select("_id", "pattern", "_entry", F.explode("_all").alias("_literal"))
+    long, short = STRETCHES
+    key = F.when(F.length("_literal") >= long, F.substring("_literal", 1, long)).otherwise(F.substring("_literal", 1, short))
+    texts = durable(df.select(F.col(text).alias("_text")).filter("_text is not null").distinct(), "pattern-texts")
+    lower = F.lower("_text")
+    keys = texts.select("_text", F.explode(F.concat(_stretches(lower, long), _stretches(lower, short))).alias("_key"))
+    near = split_hot_join(keys, each.withColumn("_key", key), ["_key"]).filter(lower.contains(F.col("_literal")))
+    # a pattern of several alternatives may come more than once
+    once = near.select("_text", "_id").distinct().join(table.select("_id", "pattern", "_entry"), "_id")
+    found = once.filter(F.expr(f"_text rlike concat('{flags}', pattern)")).select("_text", "_entry")
+    rest = pattern_rows(table.filter("_all is null").select("pattern", *[F.col("_entry")[f].alias(f) for f in fields if f != "pattern"]), fields)
+    others = texts.select("_text", F.explode(pattern_array(F.col("_text"), rest, fields, flags)).alias("_entry"))
+    kinds = table.schema["_entry"].dataType
+    hits = found.unionByName(others.select("_text", F.col("_entry").cast(kinds))) if rest else found
+    hits = hits.groupBy(F.col("_text").alias(text)).agg(F.collect_list("_entry").alias("_entries"))
+    out = split_hot_join(df, hits, [text], unique_right=True).select(*df.columns, F.explode("_entries").alias("_m"))
+    return out.select(*df.columns, *[F.col("_m")[f].alias(f) for f in fields])
+
+
 def match_patterns(
     df: DataFrame, text: str, patterns: list[dict] | DataFrame, fields: list[str], flags: str = ""
 ) -> DataFrame:
-    """Rows of ``df`` next to ``fields`` of every matching pattern; without patterns, no rows."""
+    """Rows of ``df`` next to ``fields`` of every matching pattern; without patterns, no rows.
+
+    A table of more than ``MOST_INLINE`` rows is joined by literals; only its patterns without one are read by the driver.
+    """
+    if isinstance(patterns, DataFrame) and patterns.limit(MOST_INLINE + 1).count() > MOST_INLINE:
+        return _match_large(df, text, patterns, fields, flags)
     found = F.explode(pattern_array(F.col(text), pattern_rows(patterns, fields), fields, flags))
     return df.select("*", found.alias("_m")).select(*df.columns, *[F.col("_m")[f].alias(f) for f in fields])

@@ -61,6 +61,36 @@ def test_pattern_blocks_equal_literals(spark):
     assert rows(matching.match_patterns(df, "text", long, ["tag"])) == rows(literal)
 
 
+FORMS = [
+    "acid", "^acid$", r"\bace", "acet(yl|ate)", "(?:acet|form)ate", "acids?", "ac?id", "acid{0}e", "acid|ester", "acid|e", "a.id",
+    "[ab]cid", r"a\.cid", r"acid\|ester", "(acid)?ester", "(a(b)?cid)+ ester", "(?i)ACID", r"\x61cid", "acid+e", "", "ester(?!s)", "AcId",
+    r"\(acid\)", "(acid", "ac{1,2}id", "sodium acetate", r"(\w)\1", "est[^e]r", "ac?+id", "acid*?e",
+]
+
+
+@pytest.mark.parametrize("flags", ["", "(?i)"])
+def test_large_pattern_tables_equal_blocks(spark, monkeypatch, flags):
+    """Patterns of all forms give the same rows joined by literals as in the projection; repeated rows stay repeated."""
+    rnd = random.Random(3)
+    parts = ["acid", "Acid", "ester", "acetate", "formate", "a.cid", "acid|ester", "sodium", "(acid)", "aid", "accid", "esters", "İacid", ""]
+    texts = [" ".join(rnd.choice(parts) for _ in range(rnd.randint(0, 4))) for _ in range(80)] + [None, "acid", "acid", "x" * 5000 + "acid"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    forms = [f for f in FORMS if f != "(acid"]
+    pats = spark.createDataFrame([(f, k) for k, f in enumerate([*forms, "acid"])], "pattern string, tag int")
+    plain = rows(matching.match_patterns(df, "text", pats, ["tag", "pattern"], flags))
+    monkeypatch.setattr(matching, "MOST_INLINE", 3)
+    assert rows(matching.match_patterns(df, "text", pats, ["tag", "pattern"], flags)) == plain and len(plain) > 300
+    assert matching.match_patterns(df, "text", pats.filter("pattern in ('acid', '^acid$', 'acids?', 'ester|acid')"), ["tag"]).count() > 0
+
+
+def test_twenty_thousand_patterns_leave_the_plan_small(spark):
+    pats = spark.range(20_000).selectExpr("concat('^item', id, '( |$)') pattern", "id tag")
+    df = spark.range(500).selectExpr("id", "concat('item', id * 41, ' x') text")
+    found = matching.match_patterns(df, "text", pats, ["tag"])
+    assert sorted((r.id, r.tag) for r in found.collect()) == [(i, 41 * i) for i in range(500) if 41 * i < 20_000]
+    assert len(found._jdf.queryExecution().optimizedPlan().toString()) < 20_000
+
+
 @pytest.mark.parametrize("backward", [False, True])
 def test_carry(spark, backward):
     rnd = random.Random(3)
