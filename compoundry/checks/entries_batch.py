@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import patterns as P
 from .. import schemas
 from ..operators import compounds as comp
-from ..operators import dispatch, families, fuzzy, quality, registry, report, seed
+from ..operators import dispatch, families, fuzzy, matching, quality, registry, report, seed
 from ..operators import upsert as up
 from ..plans import flows
 from ..sources import staging
@@ -137,6 +137,16 @@ def _(t):
     return families.family_by_name(t.fx_items, existing_families(t))
 
 
+@entry("J05_many_patterns", """
+select a.p_partkey product_id, b.p_partkey family_id from part a join part b
+on a.p_name=b.p_name and a.p_brand=b.p_brand and a.p_size=b.p_size""")
+def _(t):
+    """As many patterns as parts, each an alternation of two forms."""
+    named = t.part.selectExpr("p_partkey product_id", "concat(upper(p_name), ' ', p_brand, ' size ', p_size, ' ', p_type) text")
+    table = t.part.selectExpr("p_partkey family_id", "concat('^', p_name, ' +', p_brand, ' size ', p_size, '( |$)|^part ', p_partkey, '$') pattern")
+    return matching.match_patterns(named, "text", table, ["family_id"], "(?i)").select("product_id", "family_id")
+
+
 @entry("J06_family_by_registry", "select * from o_fam_reg")
 def _(t):
     first = existing_families(t)
