@@ -16,6 +16,7 @@ from .fixtures import ORACLES
 
 CAS = "[0-9]{2,7}-[0-9]{2}-[0-9]"
 SHAPE = f"^{CAS}$"
+# Words and marks that say nothing about the substance, as the oracles read them.
 NOISE = (
     r"\b[0-9]{1,3}\s*%(?:\s*(?:w/v|v/v))?\b|\b(?:ml|l|kg|g|lb|gal|drum|tote|pail|bottle|case|kit|refill|cartridge)s?\b"
     r"|\b(?:acs|tech(?:nical)?|reagent|usp|nf|bp|fcc|food|industrial|anhydrous|solution|aq\.?|conc(?:entrated)?)\b|[®™]"

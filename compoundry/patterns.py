@@ -17,14 +17,13 @@ CAS_TOKEN = r"[0-9]{2,7}-[0-9]{2}-[0-9]"
 CAS_TOKEN_BOUNDED = r"(?<![0-9])[0-9]{2,7}-[0-9]{2}-[0-9](?![0-9])"
 
 # Words and marks that say nothing about the substance.
-NOISE_STRENGTH = r"\b[0-9]{1,3}" + WS + r"*%(?:" + WS + r"*(?:w/v|v/v))?\b"
-NOISE_PACK = r"\b(?:ml|l|kg|g|lb|gal|drum|tote|pail|bottle|case|kit|refill|cartridge)s?\b"
-NOISE_GRADE = (
-    r"\b(?:acs|tech(?:nical)?|reagent|usp|nf|bp|fcc|food|industrial|anhydrous|solution"
+NOISE = (
+    r"(?i)\b[0-9]{1,3}" + WS + r"*%(?:" + WS + r"*(?:w/v|v/v))?\b"
+    r"|\b(?:ml|l|kg|g|lb|gal|drum|tote|pail|bottle|case|kit|refill|cartridge)s?\b"
+    r"|\b(?:acs|tech(?:nical)?|reagent|usp|nf|bp|fcc|food|industrial|anhydrous|solution"
     r"|aq\.?|conc(?:entrated)?)\b"
+    r"|[®™]"
 )
-NOISE_MARK = r"[®™]"
-NOISE = r"(?i)" + "|".join([NOISE_STRENGTH, NOISE_PACK, NOISE_GRADE, NOISE_MARK])
 
 # Words that make a name look like a chemical.
 CHEMICAL_WORDS = (
