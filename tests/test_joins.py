@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from compoundry.operators import compounds as comp
 from compoundry.operators import matching
 from compoundry.operators.carry import carry
 from compoundry.operators.skew import split_hot_join
@@ -101,3 +102,23 @@ def test_carry(spark, backward):
         want = (min(side) if backward else max(side))[1] if side else None
         assert c == want
     assert got.count() == len(data)
+
+
+def test_mapping_in_one_join_equals_the_three_ways(spark):
+    """Numbers and texts share one join: neither meets the other, nulls meet nothing, repeated results stay."""
+    asked = [None, "", "64-17-5", "Ethanol", "ethanol", "text:ethanol", "number:64-17-5", "64-17-5 "]
+    results = spark.createDataFrame(
+        [(p, q, k, "t", "i", "f", 1.0, "s", "n", "y") for k, q in enumerate(asked + asked[:4]) for p in (None, 7)],
+        "source_item_id long, query_name string, cid int, title string, iupac string, mf string, mw double, smiles string, inchi string, inchikey string",
+    ).withColumn("cid", F.col("cid").cast("string"))
+    items = spark.createDataFrame([(1, "64-17-5"), (2, "64-17-5"), (3, "ethanol"), (4, None)], "source_item_id long, cas string")
+    queries = spark.createDataFrame([(1, "ETHANOL"), (5, "64-17-5"), (6, ""), (8, None), (9, "text:ethanol")], "source_item_id long, query string")
+    three = comp.map_explicit(results).unionByName(comp.map_by_cas(results, items)).unionByName(comp.map_by_query(results, queries))
+    got = comp.map_compounds(results, items, queries)
+    assert rows(got) == rows(three) and got.filter("product_id in (5, 4, 8)").count() == 0
+
+    def reads(df):  # of any input, written or given
+        lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        return sum("Relation" in line or "LogicalRDD" in line for line in lines)
+
+    assert reads(got) < reads(three)
