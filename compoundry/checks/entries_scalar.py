@@ -398,9 +398,9 @@ def _(t):
 @entry("P06_incomplete_rows", "select product_id, pubchem_cid, cas, name from o_staged where product_id is null or pubchem_cid is null "
        "order by product_id nulls last, pubchem_cid nulls last, cas nulls last, name nulls last, iupac_name nulls last, molecular_formula nulls last, molecular_weight nulls last limit 10")
 def _(t):
-    from .entries_batch import staged
+    from .entries_batch import matched
 
-    return predicates.incomplete_rows(staged(t)).select("product_id", "pubchem_cid", "cas", "name")
+    return predicates.incomplete_rows(matched(t).staged()).select("product_id", "pubchem_cid", "cas", "name")
 
 
 @entry(
