@@ -1,9 +1,9 @@
 """Match text against a table of regular expressions.
 
 Pattern tables become part of the projection, so a match costs no join at all and patterns are compiled
-once. A longer table stands there in blocks. A table beyond ``MOST_INLINE`` rows stays a table: a literal that
-every match of a pattern must hold is taken from the pattern, texts and literals are joined by short stretches of
-characters, and only texts that hold the literal are matched. Plans then don't grow with the table.
+once. A longer table stands there in blocks. A table beyond ``MOST_INLINE`` rows stays a table: the literals that
+every match of a pattern must hold are taken from the pattern, texts and literals are joined by the rarest of their
+short stretches of characters, and only texts that hold all literals are matched. Plans then don't grow with the table.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from .skew import split_hot_join
 BLOCK = 200
 #: Pattern tables of more rows are joined by literals.
 MOST_INLINE = 1000
-#: Lengths of the stretches by which texts and literals are joined; a literal takes the greatest it can.
+#: Lengths of the stretches by which texts and literals are joined; a literal takes the greater one if it can.
 STRETCHES = (6, 3)
 # Stands for a part of a pattern that may match various texts.
 _BREAK = "\x00"
@@ -69,10 +69,11 @@ def pattern_rows(patterns: list[dict] | DataFrame, fields: list[str]) -> list[di
     return [r.asDict() for r in patterns.orderBy(*order).select(*names).collect()]
 
 
-def literals(pattern: Column) -> Column:
-    """Texts (lower case, ASCII letters, digits and blanks, three at least) of which every match holds one, whatever its case.
+def literal_runs(pattern: Column) -> Column:
+    """For each alternative of a pattern the texts (lower case, ASCII letters, digits and blanks, three at least) that each
+    of its matches holds, whatever its case.
 
-    One for each alternative; null where an alternative has none, or the pattern has forms that are not read here.
+    Null where an alternative has none, or the pattern has forms that are not read here.
     """
     plain = F.regexp_replace(pattern, r"\\.", _BREAK)
     plain = F.regexp_replace(plain, r"\[[^\]]*\]", _BREAK)
@@ -80,12 +81,11 @@ def literals(pattern: Column) -> Column:
         plain = F.regexp_replace(plain, r"\([^()]*\)", _BREAK)
     plain = F.regexp_replace(plain, r"(?s).(?:[?*]|\{[^}]*\})", _BREAK)
 
-    def longest(part: Column) -> Column:
-        runs = F.regexp_extract_all(part, F.lit("[A-Za-z0-9 ]{3,}"), F.lit(0))
-        return F.lower(F.array_max(F.transform(runs, lambda r: F.struct(F.length(r), r.alias("run"))))["run"])
+    def runs(part: Column) -> Column:
+        return F.array_distinct(F.transform(F.regexp_extract_all(part, F.lit("[A-Za-z0-9 ]{3,}"), F.lit(0)), F.lower))
 
-    found = F.transform(F.split(plain, r"\|"), longest)
-    read = ~pattern.rlike(_UNREAD) & ~plain.rlike(r"[()\[\]]") & ~F.exists(found, lambda x: x.isNull())
+    found = F.transform(F.split(plain, r"\|"), runs)
+    read = ~pattern.rlike(_UNREAD) & ~plain.rlike(r"[()\[\]]") & ~F.exists(found, lambda x: F.size(x) == 0)
     return F.when(read, F.array_distinct(found))
 
 
@@ -98,18 +98,26 @@ def _stretches(text: Column, size: int) -> Column:
 
 def _match_large(df: DataFrame, text: str, patterns: DataFrame, fields: list[str], flags: str) -> DataFrame:
     entry = F.struct(*fields).alias("_entry")
-    table = durable(patterns.select(F.monotonically_increasing_id().alias("_id"), "pattern", entry, literals(F.col("pattern")).alias("_all")), "patterns")
-    each = table.filter("_all is not null").select("_id", "pattern", "_entry", F.explode("_all").alias("_literal"))
+    table = durable(patterns.select(F.monotonically_increasing_id().alias("_id"), "pattern", entry, literal_runs(F.col("pattern")).alias("_all")), "patterns")
+    each = table.filter("_all is not null").select("_id", F.explode("_all").alias("_runs"))
     long, short = STRETCHES
-    key = F.when(F.length("_literal") >= long, F.substring("_literal", 1, long)).otherwise(F.substring("_literal", 1, short))
     texts = durable(df.select(F.col(text).alias("_text")).filter("_text is not null").distinct(), "pattern-texts")
     lower = F.lower("_text")
     keys = texts.select("_text", F.explode(F.concat(_stretches(lower, long), _stretches(lower, short))).alias("_key"))
-    near = split_hot_join(keys, each.withColumn("_key", key), ["_key"]).filter(lower.contains(F.col("_literal")))
+    # Alternatives that ask for the same literals are looked up once, by that of their stretches which fewest texts hold;
+    # where no text holds one of them, none matches.
+    own = F.flatten(F.transform("_runs", lambda r: F.when(F.length(r) >= long, _stretches(r, long)).otherwise(_stretches(r, short))))
+    wanted = each.select("_runs").distinct().select("_runs", F.explode(F.array_distinct(own)).alias("_key"))
+    held = keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"))
+    rarest = wanted.join(held, "_key", "left").groupBy("_runs").agg(
+        F.min_by("_key", F.struct("_n", "_key")).alias("_key"), F.count_if(F.col("_n").isNull()).alias("_missing"))
+    asked = durable(rarest.filter("_missing = 0").select("_runs", "_key"), "pattern-keys")
+    near = split_hot_join(keys, asked, ["_key"]).filter(F.forall("_runs", lambda r: lower.contains(r))).select("_text", "_runs")
+    near = durable(near, "pattern-near")
     # a pattern of several alternatives may come more than once
-    once = near.select("_text", "_id").distinct().join(table.select("_id", "pattern", "_entry"), "_id")
+    once = split_hot_join(near, each, ["_runs"]).select("_text", "_id").distinct().join(table.select("_id", "pattern", "_entry"), "_id")
     found = once.filter(F.expr(f"_text rlike concat('{flags}', pattern)")).select("_text", "_entry")
-    rest = pattern_rows(table.filter("_all is null").select("pattern", *[F.col("_entry")[f].alias(f) for f in fields if f != "pattern"]), fields)
+    rest = pattern_rows(table.filter("_all is null and pattern is not null").select("pattern", *[F.col("_entry")[f].alias(f) for f in fields if f != "pattern"]), fields)
     others = texts.select("_text", F.explode(pattern_array(F.col("_text"), rest, fields, flags)).alias("_entry"))
     kinds = table.schema["_entry"].dataType
     hits = found.unionByName(others.select("_text", F.col("_entry").cast(kinds))) if rest else found
