@@ -118,7 +118,7 @@ def _(t):
     "(select count(*) from o_hazards)::bigint hazards, (select count(*) from fx_xref where source in ('cas','pubchem'))::bigint linked_products",
 )
 def _(t):
-    lines = lines_of(t)
+    lines = durable(lines_of(t, tagged=False), "lines")  # three readers, none of which asks for sections
     return report.sds_summary(
         t.fx_sds_docs, sheets.extract_entities(lines), sheets.extract_components(lines), sheets.extract_hazards(lines), t.fx_xref
     )
@@ -129,7 +129,8 @@ ORACLES["o_doc_cas"] = "select distinct d.product_id, e.norm_value cas from fx_s
 
 @entry("A08_distinct_doc_cas", "select product_id, cas from o_doc_cas union all select null, cas from (select distinct norm_value cas from o_entities where entity_type='CAS' and norm_value is not null)")
 def _(t):
-    entities = sheets.extract_entities(lines_of(t))
+    found = sheets.extract_entities(lines_of(t, tagged=False)).select("doc_id", "entity_type", "norm_value")
+    entities = durable(found, "entities")  # two readers
     only = registry.distinct_cas(entities).select(F.lit(None).cast("bigint").alias("product_id"), "cas")
     return registry.distinct_doc_cas(t.fx_sds_docs, entities).unionByName(only)
 
@@ -147,7 +148,7 @@ def _(t):
 @entry("J14_unparsed_docs", "select o_orderkey+1 doc_id from orders where o_orderkey+1 not in (select doc_id from o_entities)")
 def _(t):
     docs = t.orders.select((F.col("o_orderkey") + 1).alias("doc_id"))
-    return sheets.unparsed_docs(docs, sheets.extract_entities(lines_of(t)))
+    return sheets.unparsed_docs(docs, sheets.extract_entities(lines_of(t, tagged=False)))
 
 
 ORACLES["o_main"] = """
@@ -250,7 +251,7 @@ def _(t):
     "select doc_id, cas_norm, name_key, 'new' from o_components c where not exists (select 1 from s where s.doc_id=c.doc_id and s.cas_norm=c.cas_norm and s.name_key=c.name_key)",
 )
 def _(t):
-    found = sheets.extract_components(lines_of(t, tagged=False)).select("doc_id", "cas_norm", "name_key")
+    found = durable(sheets.extract_components(lines_of(t, tagged=False)).select("doc_id", "cas_norm", "name_key"), "components")  # three readers
     stored = found.filter(F.col("name_key").contains("impurity")).withColumn("origin", F.lit("old"))
     return up.insert_only(stored, found.withColumn("origin", F.lit("new")), up.COMPONENT_KEYS)
 
