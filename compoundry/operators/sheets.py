@@ -42,6 +42,7 @@ _HEADING_PARTS = "(?i)^" + P.WS + "*" + _HEAD + r"([^\n]+?)" + P.WS + r"*(?:\n|\
 # What the next written pages must show of themselves: a number of two digits, what follows it, one separator and one
 # visible character are within eight visible characters. With each run of white space as one blank, sixteen hold them.
 _VISIBLE, _NEXT_CHARS = 8, 16
+_BEGINNING = r"\A" + _GAP + "(?:[^" + P.WS[1:] + _GAP + "){0," + str(_NEXT_CHARS) + "}"
 SECTION_RANGE = (1, 16)
 
 
@@ -216,7 +217,8 @@ def section_pieces(pages: DataFrame, width: int | None = None) -> DataFrame:
     """
     w = {"width": width} if width else {}
     rows = pages.select("doc_id", "page_no", F.coalesce("text", F.lit("")).alias("text"))
-    start = strip_ws(F.regexp_replace("text", P.WS + "+", " "))
+    # no more of a text is looked at than holds that many visible characters
+    start = strip_ws(F.regexp_replace(F.regexp_extract("text", _BEGINNING, 0), P.WS + "+", " "))
     starts = rows.select(
         "doc_id", "page_no", F.floor(F.col("page_no") / (width or RANGE)).alias("_range"),
         F.substring(start, 1, _NEXT_CHARS).alias("_start"), F.col("text").rlike(_OPEN_END).alias("_open")).filter("_start <> ''")
