@@ -3,8 +3,8 @@
 Only the histogram of piece lengths (at most one count for each length up to the sequence length) reaches the driver.
 There a covering program over configurations (multisets of lengths that fit one sequence) is solved by
 multiplicative weights: each length has a price, at first its share of a sequence; a knapsack dynamic program finds
-the dearest configuration; it is taken as often as a share of its scarcest length allows, and prices of what it
-covers fall. The fractional solution is rounded down, and what is left over goes, longest first, where it fits best:
+the dearest configuration with each length that is still open; it is taken as often as a share of its scarcest length
+allows, and prices of what it covers fall. The solution is rounded down, and what is left over goes, longest first, where it fits best:
 into gaps of the rounded configurations, else into new ones. Everything is done on counts, so its cost does not
 hang on the number of documents.
 
@@ -19,6 +19,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -28,10 +29,15 @@ from pyspark.sql import functions as F
 from .common import claim, durable, strings
 
 LENGTH = 2048
-#: Rounds of the program at most, and the share of a configuration's scarcest length that one round takes.
-ROUNDS, SHARE, STEP = 240, 0.25, 0.3
+#: Rounds of the program at most; the share of a configuration's scarcest length that is taken at once; by what part the
+#: price of a length falls until it is covered, and its factor where a configuration asks for more of it than is left.
+ROUNDS, SHARE, STEP, SCARCE = 160, 0.25, 0.133, 0.9
+#: By how much more a long length counts at first: less than one unused place of a sequence, so that it only decides ties.
+TIE = 1e-4
 #: Parts of text whose ids a Python worker remembers; at that number it forgets all of them.
 MOST_PARTS = 600_000
+#: Parts that are given to the library as one text.
+TOGETHER = 256
 
 # White space other than blanks and line ends; texts with it go to the library as they are.
 _OTHER_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
@@ -52,19 +58,44 @@ class Ids:
         self.library = Tokenizer.from_file(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        vocabulary = self.library.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, n in vocabulary.items():  # a character of a token stands for a byte
+            self.n_bytes[n] = len(token)
 
     def raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def parts(self, parts: list[str]) -> list[bytes]:
+        """The ids of each part. Those that begin with a blank are given to the library TOGETHER at a time, as a text of
+        them would be cut there, and their ids are told apart by the bytes they stand for; where that does not come out
+        even, and where a special string may arise, each is given alone."""
+        several = not any(c in s for s in self.special for c in " \n")
+        follow = [p for p in parts if several and p[0] in " \n" and p[-1] not in " \n"]
+        texts = ["".join(follow[k: k + TOGETHER]) for k in range(0, len(follow), TOGETHER)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *[
+            np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]])
+        reached = np.cumsum(self.n_bytes[ids])
+        wanted = np.cumsum([len(p.encode()) for p in follow], dtype=np.int64)
+        ends = np.searchsorted(reached, wanted)
+        if len(follow) == 0 or ends[-1] >= len(ids) or reached[-1] != wanted[-1] or (reached[ends] != wanted).any():
+            return self.raw(parts)
+        flat = ids.tobytes()
+        made = dict(zip(follow, [flat[a:b] for a, b in pairwise([0, *(4 * ends + 4).tolist()])], strict=True))
+        alone = [p for p in parts if p not in made]
+        made.update(zip(alone, self.raw(alone), strict=True))
+        return [made[p] for p in parts]
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         claim("packing", self.known.clear)
         if len(self.known) > MOST_PARTS:
             self.known.clear()
         cut = [None if _OTHER_SPACE.search(t) or any(s in t for s in self.special) else _PART.findall(t) for t in texts]
-        new = list({p for parts in cut if parts for p in parts if p not in self.known})
-        self.known.update(zip(new, self.raw(new), strict=True))
-        get = self.known.__getitem__
+        known = self.known
+        new = [p for p in set().union(*filter(None, cut)) if p not in known]
+        known.update(zip(new, self.parts(new), strict=True))
+        get = known.__getitem__
         return [self.raw([t])[0] if parts is None else b"".join(map(get, parts))
                 for t, parts in zip(texts, cut, strict=True)]
 
@@ -117,8 +148,9 @@ def pieces(docs: DataFrame, path: str, length: int = LENGTH, end_id: int = 0, te
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-def knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
-    """The configuration of highest price: how often it holds each length. ``lengths`` rise."""
+def dearest(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """For each capacity up to this one the length that the dearest configuration takes last, or 0 where it leaves a
+    place empty. ``lengths`` rise."""
     best, last = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     fits = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
@@ -128,6 +160,11 @@ def knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int
             k = int(with_one.argmax())
             if with_one[k] > best[c] + 1e-12:
                 best[c], last[c] = with_one[k], lengths[k]
+    return last
+
+
+def holding(last: np.ndarray, capacity: int) -> dict[int, int]:
+    """How often the dearest configuration of this capacity holds each length."""
     found: dict[int, int] = {}
     c = capacity
     while c > 0:
@@ -139,28 +176,47 @@ def knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int
     return found
 
 
+def knapsack(prices: np.ndarray, lengths: np.ndarray, capacity: int) -> dict[int, int]:
+    """The configuration of highest price: how often it holds each length. ``lengths`` rise."""
+    return holding(dearest(prices, lengths, capacity), capacity)
+
+
 def fractional(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int], float]]:
-    """Configurations and how often each is taken, covering at most the histogram."""
+    """Configurations and how often each is taken, covering at most the histogram, and nearly all of it.
+
+    A round makes one table of dearest configurations and reads from it the dearest one with each of the longer half of
+    the lengths not yet covered, the longest first, so that short ones are not used up among themselves. At first only full configurations are taken; a round that takes none allows more unused places.
+    """
     lengths = np.array(sorted(histogram), np.int64)
     need = np.array([histogram[x] for x in lengths.tolist()], float)
     at = {int(x): k for k, x in enumerate(lengths)}
-    covered, prices = np.zeros(len(lengths)), lengths / capacity
+    covered, prices = np.zeros(len(lengths)), lengths / capacity * (1 + TIE * lengths / capacity)
     taken: list[tuple[dict[int, int], float]] = []
+    unused = 0
     for _ in range(ROUNDS):
-        open_ = covered < need * (1 - 1e-9)
+        open_ = covered < need
         if not open_.any():
             break
-        found = knapsack(np.where(open_, prices, 0)[open_], lengths[open_], capacity)
-        if not found:
-            break
-        where = np.array([at[x] for x in found])
-        times = np.array(list(found.values()), float)
-        # A share of the scarcest length, but its whole rest where little of it is there.
-        room = (need[where] - covered[where]) / times
-        step = min(room.min(), max(1.0, (SHARE * need[where] / times).min()))
-        taken.append((found, step))
-        covered[where] += times * step
-        prices[where] *= (1 - STEP) ** (times * step / need[where] / SHARE * 0.1)
+        last, before = dearest(prices[open_], lengths[open_], capacity), len(taken)
+        some = lengths[open_][::-1]
+        for x in some[: -(-len(some) // 2)].tolist():
+            found = holding(last, capacity - x)
+            found[x] = found.get(x, 0) + 1
+            if sum(n * k for n, k in found.items()) < capacity - unused:
+                continue
+            where = np.array([at[n] for n in found])
+            times = np.array(list(found.values()), float)
+            room = need[where] - covered[where]
+            # A share of the scarcest length, but its whole rest where little of it is there.
+            step = min((room // times).min(), max(1.0, (SHARE * need[where] // times).min()))
+            if step < 1:  # of some lengths too few are left: the next table takes them less often
+                prices[where[room < times]] *= SCARCE
+                continue
+            taken.append((found, step))
+            covered[where] += times * step
+            prices[where] *= (1 - STEP) ** (times * step / need[where])
+        if len(taken) == before:
+            unused = max(1, 2 * unused)
     return taken
 
 
@@ -176,10 +232,18 @@ class Plan:
 
 
 def plan(histogram: dict[int, int], capacity: int = LENGTH) -> Plan:
+    """The best of three ways to round: with all configurations of the program, its full ones only, or none."""
+    found = fractional(histogram, capacity)
+    full = [(held, times) for held, times in found if sum(x * k for x, k in held.items()) == capacity]
+    plans = [rounded(histogram, some, capacity) for some in (found, full, [])]
+    return min(plans, key=lambda p: p.n_sequences)
+
+
+def rounded(histogram: dict[int, int], taken: list[tuple[dict[int, int], float]], capacity: int) -> Plan:
     """Round the program down and put what is left where it fits best."""
     left = dict(histogram)
     groups: list[tuple[list[int], int]] = []  # the lengths in a sequence, and how many such sequences
-    for found, times in fractional(histogram, capacity):
+    for found, times in taken:
         n = min(int(times + 1e-9), *(left[x] // k for x, k in found.items()))
         if n > 0:
             groups.append(([x for x, k in sorted(found.items(), reverse=True) for _ in range(k)], n))
