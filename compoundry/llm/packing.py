@@ -66,25 +66,28 @@ class Ids:
     def raw(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def parts(self, parts: list[str]) -> list[bytes]:
+    def parts(self, parts: list[str]) -> dict[str, bytes]:
         """The ids of each part. Those that begin with a blank are given to the library TOGETHER at a time, as a text of
         them would be cut there, and their ids are told apart by the bytes they stand for; where that does not come out
         even, and where a special string may arise, each is given alone."""
+        follow, alone = [], []
         several = not any(c in s for s in self.special for c in " \n")
-        follow = [p for p in parts if several and p[0] in " \n" and p[-1] not in " \n"]
+        for p in parts:
+            (follow if several and p[0] in " \n" and p[-1] not in " \n" else alone).append(p)
+        made = dict(zip(alone, self.raw(alone), strict=True))
+        if not follow:
+            return made
         texts = ["".join(follow[k: k + TOGETHER]) for k in range(0, len(follow), TOGETHER)]
-        ids = np.concatenate([np.zeros(0, "<u4"), *[
-            np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]])
+        ids = np.concatenate([
+            np.array(e.ids, "<u4") for e in self.library.encode_batch_fast(texts, add_special_tokens=False)])
         reached = np.cumsum(self.n_bytes[ids])
-        wanted = np.cumsum([len(p.encode()) for p in follow], dtype=np.int64)
+        wanted = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in follow], dtype=np.int64)
         ends = np.searchsorted(reached, wanted)
-        if len(follow) == 0 or ends[-1] >= len(ids) or reached[-1] != wanted[-1] or (reached[ends] != wanted).any():
-            return self.raw(parts)
+        if reached[-1] != wanted[-1] or (reached[ends] != wanted).any():
+            return made | dict(zip(follow, self.raw(follow), strict=True))
         flat = ids.tobytes()
-        made = dict(zip(follow, [flat[a:b] for a, b in pairwise([0, *(4 * ends + 4).tolist()])], strict=True))
-        alone = [p for p in parts if p not in made]
-        made.update(zip(alone, self.raw(alone), strict=True))
-        return [made[p] for p in parts]
+        made.update(zip(follow, [flat[a:b] for a, b in pairwise([0, *(4 * ends + 4).tolist()])], strict=True))
+        return made
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
@@ -94,7 +97,7 @@ class Ids:
         cut = [None if _OTHER_SPACE.search(t) or any(s in t for s in self.special) else _PART.findall(t) for t in texts]
         known = self.known
         new = [p for p in set().union(*filter(None, cut)) if p not in known]
-        known.update(zip(new, self.parts(new), strict=True))
+        known.update(self.parts(new))
         get = known.__getitem__
         return [self.raw([t])[0] if parts is None else b"".join(map(get, parts))
                 for t, parts in zip(texts, cut, strict=True)]
