@@ -130,17 +130,21 @@ def borders(model: Model, pieces: Pieces, both: bool) -> tuple[np.ndarray, np.nd
     return before, after
 
 
-def forward(model: Model, obs: np.ndarray, runs: np.ndarray, before: np.ndarray, keep: bool) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The log likelihood of each piece, and with ``keep`` the state weights after each place."""
-    now, total, kept = before.copy(), np.zeros(len(before)), []
+def forward(model: Model, obs: np.ndarray, runs: np.ndarray, before: np.ndarray, keep: bool) -> tuple[np.ndarray, list[tuple]]:
+    """The log likelihood of each piece, and with ``keep`` for each place the state weights after it, the emissions and
+    the scale (the probability of the observation there, given those before it)."""
+    now, scales, kept = before.copy(), np.ones(obs.shape), []
+    every = np.ones(len(model.start))
     for t, k in enumerate(runs):
-        x = (now[:k] @ model.move) * model.emit[obs[t, :k]]
-        scale = x.sum(axis=1)
-        total[:k] += np.log(scale)
-        now[:k] = x / scale[:, None]
+        emitted = model.emit[obs[t, :k]]
+        x = now[:k] @ model.move
+        x *= emitted
+        scale = np.matmul(x, every, out=scales[t, :k])
+        x /= scale[:, None]
+        now[:k] = x
         if keep:
-            kept.append(now[:k].copy())
-    return total, kept
+            kept.append((x, emitted, scale))
+    return np.log(scales).sum(axis=0), kept
 
 
 def log_likelihood(model: Model, observed: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -176,25 +180,31 @@ class Expected:
         obs, runs = pieces.at(part)
         total, kept = forward(model, obs, runs, before, keep=True)
         self.log += total.sum()
-        worth = after.copy()
-        seen, weights = [], []
+        # Scaled so that with the state weights of the last place it adds up to one; divided by the scales of the forward
+        # pass it does so at every place, and no place needs a sum of its own.
+        ends = np.empty_like(before)
+        for t, k in enumerate(runs):
+            stop = runs[t + 1] if t + 1 < len(runs) else 0
+            ends[stop:k] = kept[t][0][stop:k]
+        worth = after / (ends * after).sum(axis=1)[:, None]
+        seen, weights, moved = [], [], np.zeros((states, states))
         for t in range(len(runs) - 1, -1, -1):
             k = runs[t]
-            held = kept[t] * worth[:k]
-            weights.append(held / held.sum(axis=1)[:, None])
+            own, emitted, scale = kept[t]
+            weights.append(own * worth[:k])
             seen.append(obs[t, :k])
-            y = model.emit[obs[t, :k]] * worth[:k]
-            back = y @ model.move.T
-            earlier = kept[t - 1][:k] if t else before
-            z = (earlier[:k] * back).sum(axis=1)
-            self.move += model.move * ((earlier[:k] / z[:, None]).T @ y)
-            worth[:k] = back / back.sum(axis=1)[:, None]
+            y = emitted
+            y *= worth[:k]
+            y /= scale[:, None]
+            moved += (kept[t - 1][0] if t else before)[:k].T @ y
+            np.matmul(y, model.move.T, out=worth[:k])
+        self.move += model.move * moved
         first = pieces.number[part] == 0
         held = before[first] * worth[first]
         self.start += (held / held.sum(axis=1)[:, None]).sum(axis=0)
         seen, weights = np.concatenate(seen), np.concatenate(weights)
-        for s in range(states):
-            self.emit[:, s] += np.bincount(seen, weights=weights[:, s], minlength=len(self.emit))
+        for s, w in enumerate(np.ascontiguousarray(weights.T)):
+            self.emit[:, s] += np.bincount(seen, weights=w, minlength=len(self.emit))
 
 
 def better(start: np.ndarray, move: np.ndarray, emit: np.ndarray, frequency: np.ndarray, unknown: float) -> Model:
