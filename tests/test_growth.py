@@ -83,3 +83,29 @@ def test_a_title_of_many_documents_is_cut_into_trigrams_once(spark, monkeypatch)
     got = {r["doc_id"]: (r["source_item_id"], r["sim"]) for r in fuzzy.fuzzy_best(docs, items).collect()}
     assert got == {k: (2, 1.0) for k in range(50)}
     assert kept["fuzzy-spelled"].count() == 2
+
+
+def test_an_update_does_only_what_its_reader_asks_for(spark, own_tables, monkeypatch):
+    """Documents need no mined lines or sections, entities no match of documents, pages neither."""
+    done = []
+    for module, name in ((entries_published.sheets, "mined_lines"), (entries_published.sheets, "section_pieces"), (fuzzy, "fuzzy_best")):
+        monkeypatch.setattr(module, name, lambda *a, real=getattr(module, name), name=name, **k: done.append(name) or real(*a, **k))
+    monkeypatch.setattr(entries_published, "_RUNS", {})
+    rows = {}
+    for name in ("documents", "entities", "pages"):
+        rows[name] = catalog.queries()[f"L5_update_{name}"](spark, own_tables).collect()
+        rows[name] = len(rows[name]), sorted(set(done))
+        done.clear()
+    assert rows == {"documents": (3, ["fuzzy_best"]), "entities": (14, ["mined_lines"]), "pages": (3, [])}
+
+
+def test_trigrams_that_no_name_has_make_no_keys(spark):
+    sets = spark.createDataFrame([(1, 0, [11, 12, 13, 14, 15])], "id long, item_id long, grams array<bigint>")
+    common = spark.createDataFrame([(11, 3), (12, 1), (13, 2)], "gram long, n long")
+    asked = fuzzy.measured(fuzzy._ranked(sets, common, whole=True))
+    assert [asked.first()[c] for c in ("grams", "skip")] == [[14, 15, 12, 13, 11], 2]
+    buckets = asked.groupBy("low", "next").agg(F.max("n").alias("most"))
+    keys = fuzzy.index_rows(asked, buckets, 0.5, "l")  # a prefix of four: of its six pairs one has only trigrams of names
+    every = fuzzy.index_rows(asked.drop("skip"), buckets, 0.5, "l")
+    assert [r["l_place"] for r in keys.collect()] == [3] and every.count() > 1
+    assert keys.join(every, ["key", "l_place"]).count() == 1
