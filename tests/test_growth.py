@@ -105,7 +105,7 @@ def test_trigrams_that_no_name_has_make_no_keys(spark):
     asked = fuzzy.measured(fuzzy._ranked(sets, common, whole=True))
     assert [asked.first()[c] for c in ("grams", "skip")] == [[14, 15, 12, 13, 11], 2]
     buckets = asked.groupBy("low", "next").agg(F.max("n").alias("most"))
-    keys = fuzzy.index_rows(asked, buckets, 0.5, "l")  # a prefix of four: of its six pairs one has only trigrams of names
-    every = fuzzy.index_rows(asked.drop("skip"), buckets, 0.5, "l")
+    keys = fuzzy.index_rows(asked, buckets, 0.42, "l")  # a prefix of four: of its six pairs one has only trigrams of names
+    every = fuzzy.index_rows(asked.drop("skip"), buckets, 0.42, "l")
     assert [r["l_place"] for r in keys.collect()] == [3] and every.count() > 1
     assert keys.join(every, ["key", "l_place"]).count() == 1
