@@ -109,3 +109,13 @@ def test_trigrams_that_no_name_has_make_no_keys(spark):
     every = fuzzy.index_rows(asked.drop("skip"), buckets, 0.42, "l")
     assert [r["l_place"] for r in keys.collect()] == [3] and every.count() > 1
     assert keys.join(every, ["key", "l_place"]).count() == 1
+
+
+def test_cascade_asks_its_store_for_every_table_of_documents(spark, own_tables, monkeypatch):
+    monkeypatch.setattr(entries_published, "_RUNS", {})
+    out = catalog.queries()["C10_cascade_documents"](spark, own_tables).collect()
+    left = {(r["tab"], r["doc_id"]): r["n"] for r in out}
+    every = {"sds_document", "sds_page", "sds_entity", "sds_component", "sds_hazard", "sds_section"}
+    assert {t for t, _ in left} == every and len(left) == len(out)
+    assert {d for _, d in left} == {5, 6, 7}  # of the ids that remain none is 2 modulo 6
+    assert all(left["sds_section", d] == 2 and left["sds_component", d] == 3 for d in (5, 6, 7))
